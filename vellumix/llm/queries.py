@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..plans.registry import Registry
 from ..session import cut
 from ..sources.tables import table
-from . import packing, tokens
+from . import packing, residue, tokens
 
 R = Registry()
 
@@ -22,3 +22,8 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 def p9_containers(spark: SparkSession, d: str) -> DataFrame:
     sizes = cut(table(spark, d, "documents").select("doc_id", tokens.token_counts(F.col("text")).alias("size")))
     return packing.pack(sizes, table(spark, d, "pack_specs"))
+
+
+@R.query("p10_found")
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue.found(table(spark, d, "documents"))
