@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..plans.registry import Registry
 from ..session import cut
 from ..sources.tables import table
-from . import packing, residue, tokens
+from . import language, packing, residue, tokens
 
 R = Registry()
 
@@ -27,3 +27,22 @@ def p9_containers(spark: SparkSession, d: str) -> DataFrame:
 @R.query("p10_found")
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return residue.found(table(spark, d, "documents"))
+
+
+def _languages(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "page_id", "text")
+    kind = residue.judge(spark, residue.fit(docs), F.col("text"))["kind"]
+    lab = language.labelled(docs, table(spark, d, "page_langs")).withColumn("_kind", kind).filter("_kind is null").drop("_kind")
+    return language.label_documents(cut(lab), table(spark, d, "lexicon"))
+
+
+@R.query("p5_found")
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return language.mislabelled(_languages(spark, d)).select("doc_id", "seg_no", "lang").distinct()
+
+
+@R.query("p5_segments")
+def p5_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Language and confidence of every segment of every document that holds a transcription."""
+    segs = _languages(spark, d).select("doc_id", F.posexplode("segs").alias("seg_no", "s"))
+    return segs.select("doc_id", "seg_no", F.col("s.lang").alias("lang"), F.col("s.confidence").alias("confidence"))

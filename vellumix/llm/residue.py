@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Sentences from which the models of residue start; the corpus itself gives the rest.
@@ -205,15 +205,15 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = 3, sure: float =
     return tables
 
 
-def score(docs: DataFrame, tables: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, kind, share) of every row: kind placeholder, filler, notice or null, and the share of the text that residue covers.
+def judge(spark: SparkSession, tables: np.ndarray, text: Column) -> Column:
+    """Struct (kind, share) of a text: kind placeholder, filler, notice or null, and the share of it that residue covers.
 
-    Null and blank texts have no kind and share 0. Rows are kept as they are, repeated ones too; whole texts are read.
+    Null and blank texts have no kind and share 0. Whole texts are read, in Arrow batches.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(tables)
+    shared = spark.sparkContext.broadcast(tables)
 
     @F.pandas_udf("kind string, share double")
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in batches:
             rows = []
             for t in s:
@@ -224,9 +224,10 @@ def score(docs: DataFrame, tables: np.ndarray, id_col: str = "doc_id", text_col:
                 rows.append(("placeholder" if placeholder(t) else CLASSES[k + 1] if share > COVERAGE else None, share))
             yield pd.DataFrame(rows, columns=["kind", "share"])
 
-    return docs.select(id_col, judge(text_col).alias("r")).select(id_col, "r.kind", "r.share")
+    return run(text)
 
 
 def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Ids of the documents that hold residue in place of, or placeholders inside, a transcription; each id once."""
-    return score(docs, fit(docs, text_col), id_col, text_col).filter("kind is not null").select(id_col).distinct()
+    kind = judge(docs.sparkSession, fit(docs, text_col), F.col(text_col))["kind"]
+    return docs.select(id_col, kind.alias("kind")).filter("kind is not null").select(id_col).distinct()
