@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..plans.registry import Registry
 from ..session import cut
 from ..sources.tables import table
-from . import language, packing, residue, tokens
+from . import language, names, packing, residue, tokens
 
 R = Registry()
 
@@ -46,3 +46,9 @@ def p5_segments(spark: SparkSession, d: str) -> DataFrame:
     """Language and confidence of every segment of every document that holds a transcription."""
     segs = _languages(spark, d).select("doc_id", F.posexplode("segs").alias("seg_no", "s"))
     return segs.select("doc_id", "seg_no", F.col("s.lang").alias("lang"), F.col("s.confidence").alias("confidence"))
+
+
+@R.query("p1_found")
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "ner_records").filter("tag in ('Person', 'Group')")
+    return names.variants(rows, ["text", "pref_label", "match_label"], "tag = 'Group'")
