@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..plans.registry import Registry
 from ..session import cut
 from ..sources.tables import table
-from . import language, names, packing, residue, tokens
+from . import language, names, noise, packing, residue, tokens
 
 R = Registry()
 
@@ -52,3 +52,8 @@ def p5_segments(spark: SparkSession, d: str) -> DataFrame:
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "ner_records").filter("tag in ('Person', 'Group')")
     return names.variants(rows, ["text", "pref_label", "match_label"], "tag = 'Group'")
+
+
+@R.query("p6_found")
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return noise.marks(table(spark, d, "px_lines"), table(spark, d, "px_regions"), table(spark, d, "lexicon"))
