@@ -18,7 +18,7 @@ from .names import edits
 # Marks with which a line may break a word, and letters that period spelling and misreading exchange.
 MARKS = "„¬=⸗~­—-"
 SPELLINGS = [("y", "ij"), ("y", "i"), ("ij", "i"), ("ae", "aa"), ("ae", "a"), ("gh", "g"), ("gh", "ch"), ("g", "ch"), ("dt", "t"), ("dt", "d"), ("d", "t"), ("s", "z"), ("ck", "k"), ("c", "k"), ("cx", "ks"), ("x", "ks"), ("u", "v"), ("f", "v"), ("ff", "f"), ("ph", "f"), ("uij", "ui"), ("uy", "ui"), ("ie", "i"), ("ee", "e"), ("oo", "o"), ("aa", "a"), ("uu", "u"), ("ie", "ee"), ("eu", "ue"), ("ou", "au"), ("oe", "u"), ("e", ""), ("h", ""), ("n", ""), ("tt", "t"), ("ss", "s"), ("ll", "l"), ("nn", "n"), ("ngh", "ng"), ("ij", "ei"), ("y", "ie"), ("i", "ie"), ("y", "ei"), ("s", "ss"), ("w", "uw"), ("ee", "ie"), ("e", "ie"), ("sg", "sch"), ("sgh", "sch")]
-LOOKALIKES = [("n", "u"), ("u", "n"), ("c", "e"), ("e", "c"), ("a", "o"), ("o", "a"), ("h", "b"), ("b", "h"), ("r", "v"), ("v", "r"), ("t", "r"), ("r", "t"), ("f", "s"), ("s", "f"), ("q", "g"), ("g", "q"), ("9", "g"), ("0", "o"), ("1", "l"), ("l", "i"), ("i", "l"), ("!", "i"), ("|", "l"), ("€", "e"), ("æ", "a"), ("cl", "d"), ("d", "cl"), ("vv", "w"), ("w", "vv"), ("rn", "m"), ("m", "rn"), ("in", "m"), ("m", "in"), ("nn", "m"), ("ni", "m"), ("ri", "n"), ("n", "ri"), ("ii", "u"), ("u", "ii"), ("li", "h"), ("h", "li"), ("5", "s"), ("k", "h"), ("l", "t"), ("t", "l"), ("j", "i"), ("lj", "ij"), ("x", "r"), ("p", "y"), ("o", "e"), ("e", "o"), ("'", ""), (".", ""), (",", ""), ("|", ""), ("1", "i"), ("8", "B"), ("6", "b")]
+LOOKALIKES = [("n", "u"), ("u", "n"), ("c", "e"), ("e", "c"), ("a", "o"), ("o", "a"), ("h", "b"), ("b", "h"), ("r", "v"), ("v", "r"), ("t", "r"), ("r", "t"), ("f", "s"), ("s", "f"), ("q", "g"), ("g", "q"), ("9", "g"), ("0", "o"), ("1", "l"), ("l", "i"), ("i", "l"), ("!", "i"), ("|", "l"), ("€", "e"), ("æ", "a"), ("cl", "d"), ("d", "cl"), ("lc", "k"), ("vv", "w"), ("w", "vv"), ("rn", "m"), ("m", "rn"), ("in", "m"), ("m", "in"), ("nn", "m"), ("ni", "m"), ("ri", "n"), ("n", "ri"), ("ii", "u"), ("u", "ii"), ("li", "h"), ("h", "li"), ("5", "s"), ("k", "h"), ("l", "t"), ("t", "l"), ("j", "i"), ("lj", "ij"), ("x", "r"), ("p", "y"), ("o", "e"), ("e", "o"), ("'", ""), (".", ""), (",", ""), ("|", ""), ("1", "i"), ("8", "B"), ("6", "b")]
 
 _EDGE = "".join(map(re.escape, MARKS + ".,;:()[]'\"!?°*/"))
 _STRIP = re.compile(rf"^[{_EDGE}]+|[{_EDGE}]+$")
@@ -35,6 +35,8 @@ def bare(token: str) -> str:
 
 def number(text: str) -> int | None:
     """The number a line consists of, Arabic or Roman, with or without folio words and brackets."""
+    if re.search(r"\d", text) and len(text) < 14:  # digits taken for letters
+        text = re.sub(r"(?<![a-zA-Z])[\dlIoOSB]*\d[\dlIoOSB]*(?![a-zA-Z])", lambda m: m[0].translate(str.maketrans("lIoOSB", "110058")), text)
     m = _NUMBER.match(text)
     if not m:
         return None
@@ -135,9 +137,9 @@ class Furniture:
         p = 1 / (1 + np.exp(-model.logit(x)))
         weights = {}
         for k in set(kinds):
-            at = np.array([q == k for q in kinds])
-            a, b = (p[at].sum() + 1) / (p.sum() + 8), ((1 - p[at]).sum() + 1) / ((1 - p).sum() + 8)
-            weights[k] = float(np.clip(math.log(a / b), -2.5, 2.5))
+            at = np.array([q == k for q in kinds]) & single
+            a, b = (p[at].sum() + 1) / (p[single].sum() + 8), ((1 - p[at]).sum() + 1) / ((1 - p[single]).sum() + 8)
+            weights[k] = float(np.clip(math.log(a / b), -1, 1))
         return cls(model, weights)
 
     def judge(self, lines: list, near: list | None) -> np.ndarray:
@@ -193,7 +195,7 @@ def line_pairs(j: DataFrame) -> DataFrame:
                 for i, x in enumerate(run):
                     text = x["text"].rstrip()
                     m = re.search(rf"(\s*)([{re.escape(MARKS)}]+)$", text)
-                    mark, attached = (m[2][-1], not m[1]) if m else ("", False)
+                    mark, attached = (m[2][-1], not m[1] and text[: m.start()][-1:].isalpha()) if m else ("", False)
                     body = (text[: m.start()] if m else text).split()
                     if not body:
                         continue
@@ -343,8 +345,8 @@ def corrections(words: DataFrame, lexicon: DataFrame, most_known: int = 20_000)
         if not len(w):
             return pd.Series([], dtype="float64")
         x = np.array([ranking_features(*r) for r in zip(w, c, n_w, n_c)])
-        # An exact check: two edits at most, and a word that good spelling explains as well is none.
-        fits = (x[:, 2] <= np.where(x[:, 3] > 4, 2, 1)) & (x[:, 0] < x[:, 1] + 0.05) & (x[:, 5] > 1.0)
+        # An exact check: two edits at most, one of them no look-alike at most, and not what spelling explains as well.
+        fits = (x[:, 2] <= np.where(x[:, 3] > 4, 2, 1)) & (x[:, 0] <= 1.0) & (x[:, 0] < x[:, 1] + 0.05) & (x[:, 5] > 1.0)
         return pd.Series(np.where(fits, model.value.logit(x), -9.0))
 
     @F.pandas_udf("double")
