@@ -1,5 +1,5 @@
 """Registered queries; the optional llm subpackage keeps its own registry."""
 
-from . import problems
+from . import problems, text_queries
 
-REGISTRIES = [problems.R]
+REGISTRIES = [problems.R, text_queries.R]
