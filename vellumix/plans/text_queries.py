@@ -63,10 +63,10 @@ def quote_context(spark: SparkSession, d: str) -> DataFrame:
     return s.select("annotation_id", X.quote_prefix(F.col("page_text"), b).alias("prefix"), X.exact(F.col("page_text"), b, e).alias("exact"), X.quote_suffix(F.col("page_text"), e).alias("suffix"))
 
 
-_FOLD = "list_reduce(list_prepend('', list(text order by line_ord, id)), (a, x) -> case when a = '' then x when right(a, 1) = '„' then rtrim(a, '„') || ltrim(ltrim(x, '„'), '¬') when right(a, 1) = '¬' then rtrim(a, '¬') || ltrim(ltrim(x, '„'), '¬') else a || ' ' || x end) || chr(10)"
+_FOLD = "list_reduce(list_prepend('', list(text order by line_ord, id)), lambda a, x: case when a = '' then x when right(a, 1) = '„' then rtrim(a, '„') || ltrim(ltrim(x, '„'), '¬') when right(a, 1) = '¬' then rtrim(a, '¬') || ltrim(ltrim(x, '„'), '¬') else a || ' ' || x end) || chr(10)"
 
 
-@R.query("paragraph_fold")
+@R.query("paragraph_fold", _with(V.LINES) + f"select text_region_id, regexp_replace({_FOLD}, '\\s+', ' ', 'g') as paragraph from lines group by text_region_id")
 def paragraph_fold(spark: SparkSession, d: str) -> DataFrame:
     """The text of each region with broken words joined."""
     own = F.array_sort(F.collect_list(F.struct("line_ord", "id", "text")))
