@@ -28,8 +28,8 @@ def labelled(text: str) -> tuple[str, int]:
 
 
 def zipped(names: list[str], values: list[str]) -> list[dict[str, str]]:
-    """Feature values stacked by ``|`` as one dict for each position."""
-    stacks = [v.split("|") for v in values]
+    """Feature values stacked by ``|`` as one dict for each position; escaped bars don't divide."""
+    stacks = [re.split(r"(?<!\\)\|", v) for v in values]
     size = max(map(len, stacks), default=0)
     return [{n: s[i] for n, s in zip(names, stacks) if i < len(s)} for i in range(size)]
 
