@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -20,7 +23,13 @@ class Registry:
         def add(f: Query) -> Query:
             if name in self.queries:
                 raise KeyError(f"{name} is registered twice")
-            self.queries[name] = f
+
+            @wraps(f)
+            def run(spark: SparkSession, folder: str) -> DataFrame:
+                ship(spark)
+                return f(spark, folder)
+
+            self.queries[name] = run
             if sql:
                 self.sql[name] = sql
             return f

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,7 +21,23 @@ SETTINGS = {
 def build(master: str | None = None, app: str = "vellumix", **conf: str) -> SparkSession:
     """A session with the engine's settings; ``conf`` keys use ``__`` for dots."""
     b = SparkSession.builder.appName(app).config(map=SETTINGS | {k.replace("__", "."): v for k, v in conf.items()})
-    return (b.master(master) if master else b).getOrCreate()
+    spark = (b.master(master) if master else b).getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the library to the Python workers, wherever the driver found it; once a Spark context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_vellumix_sent", False):
+        return
+    here = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="vellumix-lib-")) / "vellumix.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(here.rglob("*.py")):
+            z.write(p, p.relative_to(here.parent))
+    sc.addPyFile(str(archive))
+    sc._vellumix_sent = True
 
 
 def shared_dir(spark: SparkSession) -> str:
