@@ -64,9 +64,12 @@ _CERTAIN = re.compile(r"\.{4,}\s*\(\s*[\w -]{2,40}\)\s*\.{4,}|_{4,}\s*\(\s*[\w -
 _MAYBE = re.compile(r"\{([A-Za-z][\w .-]{0,40})\}|<([A-Za-z][\w .-]{0,40})>|«([\w-]{2,40})»|\[([A-Z][A-Z_]{2,40})\]")
 
 
+_ZEROS = str.maketrans("123456789", "0" * 9)
+
+
 def fold(text: str) -> np.ndarray:
     """Code points of a text in lower case, digits as 0, runs of white space as one space."""
-    t = re.sub(r"\s+", " ", re.sub(r"\d", "0", text.lower())).strip()
+    t = " ".join(text.lower().translate(_ZEROS).split())
     return np.frombuffer(f" {t} ".encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
 
 
@@ -110,30 +113,48 @@ def ratios(natural: np.ndarray, residue: np.ndarray) -> np.ndarray:
     return np.log(share(residue) / share(natural)).astype(np.float32)
 
 
-def windows(codes: np.ndarray, tables: np.ndarray) -> np.ndarray:
-    """Mean log-likelihood ratio of the window around each position, classes x positions."""
+def windows(codes: np.ndarray, tables: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
+    """Mean log-likelihood ratio of the window around each position, classes x positions.
+
+    ``codes`` may hold several texts that begin at ``starts``: no n-gram and no window goes beyond its text.
+    """
     n = len(codes)
+    starts = np.zeros(1, np.int64) if starts is None else starts
+    sizes = np.diff(np.r_[starts, n])
+    first, last = np.repeat(starts, sizes), np.repeat(starts + sizes, sizes)
     score = np.zeros((len(tables), n), np.float32)
+    at = np.arange(n)
     for o, order in enumerate(ORDERS):
         g = grams(codes, order)
         if len(g):
-            score[:, order // 2 : order // 2 + len(g)] += tables[:, o, :][:, g]
+            inside = at[: len(g)] + order <= last[: len(g)]
+            score[:, order // 2 : order // 2 + len(g)] += tables[:, o, :][:, g] * inside
     run = np.concatenate([np.zeros((len(tables), 1)), np.cumsum(score, 1, dtype=np.float64)], 1)
-    at = np.arange(n)
-    a, b = np.maximum(at - WINDOW // 2, 0), np.minimum(at + WINDOW // 2 + 1, n)
+    a, b = np.maximum(at - WINDOW // 2, first), np.minimum(at + WINDOW // 2 + 1, last)
     return (run[:, b] - run[:, a]) / (b - a)
 
 
-def coverage(text: str, tables: np.ndarray) -> tuple[float, int]:
-    """Share of a text's visible characters inside windows that are likelier residue, and the class that covers most."""
-    codes = fold(text)
-    seen = codes != 32
-    if not seen.any():
-        return 0.0, 0
-    w = windows(codes, tables)
-    hit = (w.max(0) > 0) & seen
-    share = hit.sum() / seen.sum()
-    return float(share), int(np.bincount(w.argmax(0)[hit], minlength=len(tables)).argmax()) if hit.any() else 0
+def coverages(texts: list[str], tables: np.ndarray) -> list[tuple[float, int]]:
+    """Share of each text's visible characters inside windows that are likelier residue, and the class that covers most."""
+    out: list[tuple[float, int]] = []
+    waiting: list[np.ndarray] = []
+    size = 0
+    for i, t in enumerate(texts):
+        waiting.append(fold(t))
+        size += len(waiting[-1])
+        if size > 1 << 18 or i == len(texts) - 1:
+            codes = np.concatenate(waiting)
+            lengths = np.array([len(c) for c in waiting])
+            starts = np.cumsum(lengths) - lengths
+            w = windows(codes, tables, starts)
+            seen = codes != 32
+            hit = (w.max(0) > 0) & seen
+            visible = np.maximum(np.add.reduceat(seen, starts, dtype=np.int64), 1)
+            top = w.argmax(0)
+            by = np.stack([np.add.reduceat(hit & (top == k), starts, dtype=np.int64) for k in range(len(tables))])
+            out += list(zip((by.sum(0) / visible).tolist(), by.argmax(0).tolist()))
+            waiting, size = [], 0
+    return out
 
 
 def _names() -> tuple[np.ndarray, np.ndarray]:
@@ -168,7 +189,7 @@ def _summed(counts: DataFrame) -> np.ndarray:
     return out.reshape(len(CLASSES), len(ORDERS), BUCKETS)
 
 
-def fit(docs: DataFrame, text_col: str = "text", rounds: int = 3, sure: float = 0.5) -> np.ndarray:
+def fit(docs: DataFrame, text_col: str = "text", rounds: int = 2, sure: float = 0.5) -> np.ndarray:
     """Log-ratio tables (classes but natural x orders x buckets) of a corpus.
 
     Natural prose starts as all texts, filler and notices as the seed sentences. In each round the texts covered by
@@ -192,11 +213,15 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = 3, sure: float =
 
         def count_residue(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             total: dict[int, np.ndarray] = {}
+            chosen: dict[int, list[str]] = {}
             for b in batches:
-                for t in b["t"]:
-                    share, k = coverage(t, shared.value)
+                texts = b["t"].tolist()
+                for t, (share, k) in zip(texts, coverages(texts, shared.value)):
                     if share > sure:
-                        total[k + 1] = total.get(k + 1, 0) + count([t])
+                        chosen.setdefault(k + 1, []).append(t)
+                for k, own in chosen.items():
+                    total[k] = total.get(k, 0) + count(own)
+                chosen.clear()
             yield _count_rows(total)
 
         found = _summed(texts.mapInPandas(count_residue, schema))
@@ -215,13 +240,10 @@ def judge(spark: SparkSession, tables: np.ndarray, text: Column) -> Column:
     @F.pandas_udf("kind string, share double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in batches:
-            rows = []
-            for t in s:
-                if not isinstance(t, str) or not t.strip():
-                    rows.append((None, 0.0))
-                    continue
-                share, k = coverage(t, shared.value)
-                rows.append(("placeholder" if placeholder(t) else CLASSES[k + 1] if share > COVERAGE else None, share))
+            rows: list[tuple] = [(None, 0.0)] * len(s)
+            full = [(i, t) for i, t in enumerate(s) if isinstance(t, str) and t.strip()]
+            for (i, t), (share, k) in zip(full, coverages([t for _, t in full], shared.value)):
+                rows[i] = ("placeholder" if placeholder(t) else CLASSES[k + 1] if share > COVERAGE else None, share)
             yield pd.DataFrame(rows, columns=["kind", "share"])
 
     return run(text)
