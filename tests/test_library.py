@@ -82,6 +82,69 @@ def test_quotes(spark, cases):
     assert got == [(prefix(t, b), t[b:e], suffix(t, e)) for t, b, e in rows]
 
 
+def paired(words):
+    out, i = [], 0
+    end = lambda a, b: "" if b is None else " " if a[0] == b[0] else "\n"
+    while i < len(words):
+        a, b = words[i], words[i + 1] if i + 1 < len(words) else None
+        j = pair(a[2], b[2]) if b and a[0] == b[0] and a[1] != b[1] else None
+        if j is None:
+            out.append((a[2] + end(a, b), 1))
+            i += 1
+        else:
+            out.append((j + end(b, words[i + 2] if i + 2 < len(words) else None), 2))
+            i += 2
+    return out
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 2), st.text("ab„¬=", min_size=1, max_size=3)), max_size=7), min_size=20, max_size=40))
+def test_paired_words(spark, cases):
+    cases = [sorted((f"r{r}", f"l{r}{n}", t) for r, n, t in c) for c in cases]
+    got = one(spark, [(c,) for c in cases], "w array<struct<region:string,line:string,text:string>>", X.paired_words(F.col("w")))
+    assert [[tuple(x) for x in g[0]] for g in got] == [paired(c) for c in cases]
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(st.text("ab „", max_size=25), st.lists(st.text("ab„", min_size=1, max_size=3), max_size=6)), min_size=20, max_size=40))
+def test_word_places(spark, cases):
+    got = one(spark, cases, "t string, w array<string>", X.word_places(F.col("t"), F.col("w"), 5))
+    for (text, words), g in zip(cases, got):
+        at, want = 0, []
+        for i, w in enumerate(words):
+            bare = w.strip("„¬")
+            k = text.find(bare, at, at + len(bare) + 5) if re.search("[a-z]", bare) else -1
+            if k >= 0:
+                want.append((i, k, k + len(bare)))
+                at = k + len(bare)
+        assert [tuple(x) for x in g[0]] == want
+
+
+def test_vector_search_recall(spark, data):
+    import os
+
+    import numpy as np
+
+    from vellumix.operators import search
+
+    if not os.path.isdir(data):
+        pytest.skip("no tables")
+    df = spark.read.parquet(f"{data}/embeddings.parquet")
+    extra = spark.createDataFrame([(10_000, None, 0), (10_020, [], 0), (10_040, [0.0] * 3, 0)], df.schema)
+    got = search.nearest(df.unionByName(extra), "vec_id", "embedding").toPandas()
+    rows = df.toPandas()
+    x = np.array(rows["embedding"].tolist(), float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids, hits, total = rows["vec_id"].to_numpy(), 0, 0
+    for i in np.flatnonzero(ids % 20 == 0):
+        s = x @ x[i]
+        s[i] = -9
+        best = set(ids[np.lexsort((ids, -s))[:10]])
+        own = set(got[got["query_id"] == ids[i]]["id"])
+        hits, total = hits + len(best & own), total + 10
+    assert hits / total >= 0.9 and set(got["query_id"]) == {i for i in ids if i % 20 == 0}
+
+
 def test_text_expressions(spark):
     rows = [("NL_1_1171A_0012", "Structure {type:Header;}", "X[6]", r"a\|b\[", "200 pond"), (None, None, "_", None, "twee pond"), ("x", "paragraph", "*[6]", "", "ƒ 300"), ("p_12345", "", "OBJ", "_", "")]
     q = X.quantity_parts(F.col("e"))

@@ -176,3 +176,71 @@ def quantity_parts(c: Column) -> Column:
     sign = (unit == "") & value.startswith("ƒ ")
     u = F.when(sign, "ƒ").otherwise(unit)
     return F.struct(F.when(sign, F.substring(value, F.lit(3), F.length(value))).otherwise(value).alias("value"), u.alias("unit"), slug(u, "-").alias("slug"))
+
+
+def paired_words(words: Column) -> Column:
+    """Array of (text, n): the words of a text, where a line's last word is joined with the next line's first if they are halves.
+
+    ``words`` is an array of (region, line, text) in order. A joined pair is one entry of two words, and its second word
+    joins no other. Texts end in a space inside a line or before a joined word of the same region, in a line feed before another
+    region, in nothing at the end.
+    """
+    size = F.size(words)
+    start = F.struct(F.lit(0).alias("skip"), F.array().cast("array<struct<text:string,n:int>>").alias("out"))
+
+    def step(s: Column, i: Column) -> Column:
+        a, b, c = words[i], F.when(i + 1 < size, words[i + 1]), F.when(i + 2 < size, words[i + 2])
+        joined = F.when((a["region"] == b["region"]) & (a["line"] != b["line"]), hyphen_join(a["text"], b["text"]))
+        end = lambda x, y: F.when(y.isNull(), "").when(x["region"] == y["region"], " ").otherwise("\n")
+        both = F.struct(F.concat(joined, end(b, c)).alias("text"), F.lit(2).alias("n"))
+        one = F.struct(F.concat(a["text"], end(a, b)).alias("text"), F.lit(1).alias("n"))
+        entry = F.when(joined.isNotNull(), both).otherwise(one)
+        went = F.struct(F.when(joined.isNotNull(), 1).otherwise(0).alias("skip"), F.concat(s["out"], F.array(entry)).alias("out"))
+        return F.when(s["skip"] == 1, F.struct(F.lit(0).alias("skip"), s["out"].alias("out"))).otherwise(went)
+
+    return F.when(size > 0, F.aggregate(F.sequence(F.lit(0), size - 1), start, step, lambda s: s["out"])).otherwise(F.array().cast("array<struct<text:string,n:int>>"))
+
+
+def word_places(text: Column, words: Column, window: int = 10_000) -> Column:
+    """Array of (ord, begin, end): where each word that has a letter or digit stands, searched from the end of the one before.
+
+    Break marks at a word's edges are left off. A word must begin within its length and ``window`` characters; a word that
+    isn't found has no place, and the search goes on for the next from the same point.
+    """
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), F.array().cast("array<struct<ord:int,begin:int,end:int>>").alias("out"))
+
+    def step(s: Column, w: Column) -> Column:
+        bare = F.regexp_replace(F.regexp_replace(w, "^[„¬]+", ""), "[„¬]+$", "")
+        hit = F.position(bare, F.substring(text, s["at"] + 1, F.length(bare) + window))
+        begin = s["at"] + hit - 1
+        place = F.struct(s["i"].alias("ord"), begin.alias("begin"), (begin + F.length(bare)).alias("end"))
+        found = bare.rlike(r"[\p{L}\p{N}]") & (hit > 0)
+        return F.when(found, F.struct((begin + F.length(bare)).alias("at"), (s["i"] + 1).alias("i"), F.concat(s["out"], F.array(place)).alias("out"))).otherwise(F.struct(s["at"].alias("at"), (s["i"] + 1).alias("i"), s["out"].alias("out")))
+
+    return F.aggregate(words, start, step, lambda s: s["out"])
+
+
+def display_name(year: Column, archive: Column, title: Column) -> Column:
+    """A document's name with placeholders for what isn't known."""
+    known = lambda c, other: F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit(other))
+    return F.concat_ws(" - ", known(year, "0000"), known(archive, "unknown"), truncate(known(title, "untitled"), 100))
+
+
+def trailing_number(c: Column) -> Column:
+    """The digits behind the last ``:`` or ``#`` of an address, null without any."""
+    return F.nullif(F.regexp_extract(c, r"[:#](\d+)$", 1), F.lit(""))
+
+
+def joined_regions(regions: Column) -> Column:
+    """One text of regions (arrays of lines): lines end in ``|`` and a line feed, regions in an empty line."""
+    return F.array_join(F.transform(regions, lambda r: F.array_join(r, "|\n")), "\n\n")
+
+
+def hierarchy_paths(names: Column, sep: str = ":") -> Column:
+    """``a``, ``a:b``, ``a:b:c`` down a hierarchy."""
+    return F.transform(F.sequence(F.lit(1), F.size(names)), lambda i: F.array_join(F.slice(names, F.lit(1), i), sep))
+
+
+def normalised_keys(m: Column, prefix: str) -> Column:
+    """A map's keys as identifiers in lower case, behind a prefix."""
+    return F.transform_keys(m, lambda k, _: F.concat(F.lit(prefix), slug(k)))
