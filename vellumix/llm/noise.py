@@ -145,6 +145,9 @@ class Furniture:
     def judge(self, lines: list, near: list | None) -> np.ndarray:
         x = furniture_features(lines, near)
         score = self.model.logit(x) + np.array([self.kinds.get(k["kind"], 0.0) for k in lines])
+        # What numbering, repetition or the next page bears out outweighs a wrong kind of region.
+        borne_out = (x[:, 4] >= 2) | (x[:, 5] >= 3) | ((x[:, 6] > 0) & (x[:, 8] == 1)) | ((x[:, 7] > 0) & (x[:, 1] == 0))
+        score = score + 2.5 * (borne_out & (x[:, 2] == 1))
         # An exact check: sums stand in columns, pieces' headings aren't repeated, and text fills more than a line.
         form = (x[:, 3] > 0) | (x[:, 5] > 0) | (x[:, 6] > 0) | (x[:, 7] > 0)
         return (score > 0) & form & (x[:, 2] <= 2)
