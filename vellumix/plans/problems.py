@@ -12,13 +12,36 @@ from .registry import Registry
 R = Registry()
 
 
-@R.query("p2_found")
+_NUM = r"try_cast(nullif(regexp_extract(trim({}), '(?i)^(?:\S*_|scan\s*)?0*(\d{{1,9}})\s*\.?$', 1), '') as int)"
+_RANGE = r"nullif(regexp_extract(trim(scan_range), '^0*(\d{{1,9}})(?:\s*[-–—/]\s*0*(\d{{1,9}}))?$', {}), '')"
+_P2 = (
+    r"with v as (select upper(regexp_replace(inventory_number, '^\s+|\s+$', '', 'g')) as inv, " + f"{_NUM.format('scan_start')} as s, {_NUM.format('scan_end')} as e, cast({_RANGE.format(1)} as int) as rf, cast(coalesce({_RANGE.format(2)}, {_RANGE.format(1)}) as int) as rl, no_of_scans as n from doc_meta), "
+    "c as (select inv, coalesce(s, rf) as a, coalesce(e, rl, case when n >= 1 then coalesce(s, rf) + n - 1 end) as b from v), "
+    "iv as (select inv, least(a, b) as a, greatest(a, b) as b from c where inv <> '' and a is not null and b is not null), "
+    "o as (select *, max(b) over (partition by inv order by a, b rows between unbounded preceding and 1 preceding) as m from iv), "
+    "g as (select *, sum(case when a <= m + 1 then 0 else 1 end) over (partition by inv order by a, b rows between unbounded preceding and current row) as r from o), "
+    "p as (select inv, min(a) as a, max(b) as b from g group by inv, r) "
+    "select inv as inventory_number, 'period' as kind, a as first_scan, b as last_scan from p union all select inv, 'gap', b + 1, nx - 1 from (select *, lead(a) over (partition by inv order by a) as nx from p) where nx is not null"
+)
+
+
+@R.query("p2_found", _P2)
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     spans = intervals.scan_intervals(table(spark, d, "doc_meta"))
     return intervals.periods_and_gaps(spans, "inventory_number", "first_scan", "last_scan")
 
 
-@R.query("p3_found")
+_P3 = (
+    "with f as (select annotation_id, unnest(['body', 'target']) as field, unnest([body, target]) as t from web_annos), "
+    "j as (select annotation_id, field, case when json_type(t) = 'VARCHAR' then json_extract_string(t, '$') else t end as t from f where json_valid(t)), "
+    "k as (select annotation_id, field, n.fullkey as p, n.type as type, json_type(t) as root from (select distinct * from j where json_valid(t)) j, json_tree(j.t::json) n where n.type = 'OBJECT'), "
+    "a as (select annotation_id, field || case when root = 'OBJECT' then '[0]' else '' end || replace(replace(substr(p, 2), '.selector.', '.selector[0].'), '.classified_as.', '.classified_as[0].') as x from k), "
+    "b as (select distinct annotation_id, case when ends_with(x, '.selector') or ends_with(x, '.classified_as') then x || '[0]' else x end as node_path from a) "
+    r"select annotation_id, node_path, case when q in ('body', 'target') then '' else q end as parent_path from (select *, regexp_replace(node_path, '(\.[^.\[\]]+)?(\[\d+\])*$', '') as q from b)"
+)
+
+
+@R.query("p3_found", _P3)
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     nodes = nested.flatten(table(spark, d, "web_annos"), "annotation_id", ["body", "target"])
     return nodes.select(F.col("id").alias("annotation_id"), "node_path", "parent_path")
