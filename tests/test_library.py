@@ -203,6 +203,20 @@ def test_as_of(spark):
     assert got == {("a", 5): "y", ("a", 1): None, ("b", 5): None, (None, 3): "n"}
 
 
+def test_blocks_change_nothing(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "b", None]), t, rng.choice([None, "x", "y"])) for t in rng.sample(range(3000), 500)]
+    df = spark.createDataFrame(rows, "k string, t int, v string")
+    plain = {tuple(r) for r in sequences.runs(df, ["k"], ["t"], ["v"], "run").collect()}
+    assert plain == {tuple(r) for r in sequences.runs(df, ["k"], ["t"], ["v"], "run", F.floor(F.col("t") / 70)).collect()}
+    left = df.select("k", F.col("t").alias("at")).filter("at % 3 = 0")
+    for width in (1e9, 40.0):
+        got = {(r.k, r.at): r.w for r in spans.as_of(left, df, "k", "at", "t", "v", "w", width).collect()}
+        assert got == {(k, t): max(((u, v) for q, u, v in rows if q == k and u <= t and v is not None), default=(0, None))[1] for k, t, _ in rows if t % 3 == 0}
+
+
 def test_nearest_name_and_first_of_name(spark):
     names = spark.createDataFrame([("batavia", "1"), ("batavja", "0"), ("ab", "2")], "name_key string, ord string")
     m = spark.createDataFrame([("Batavia",), ("Batavka",), ("xx",), (None,), ("zzzzzzzz",)], "mention string")

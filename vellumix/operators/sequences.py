@@ -21,14 +21,31 @@ def running_offsets(df: DataFrame, group: str, order: str, length: Column, out:
     return y.withColumn(out, F.col("_s") + F.col("_i")).drop("_n", "_blk", "_g", "_k", "_s", "_i")
 
 
-def runs(df: DataFrame, group: list[str], order: list[str], values: list[str], out: str) -> DataFrame:
-    """Adds ``out``: the number, from 1, of the run of equal neighbouring ``values`` inside a group."""
-    w = Window.partitionBy(*group).orderBy(*order)
+def runs(df: DataFrame, group: list[str], order: list[str], values: list[str], out: str, block: Column | None = None) -> DataFrame:
+    """Adds ``out``: the number, from 1, of the run of equal neighbouring ``values`` inside a group, in a total ``order``.
+
+    ``block``, which must not fall along the order, cuts long groups: runs are counted inside blocks, and what a block
+    adds to those before comes from the blocks' first and last values and numbers of changes.
+    """
+    x = df.withColumn("_blk", block if block is not None else F.lit(0))
+    w = Window.partitionBy(*group, "_blk").orderBy(*order)
     same = F.lit(True)
     for v in values:
         same = same & F.lag(v).over(w).eqNullSafe(F.col(v))
-    changed = F.when(same & (F.row_number().over(w) > 1), 0).otherwise(1)
-    return df.withColumn("_c", changed).withColumn(out, F.sum("_c").over(w).cast("bigint")).drop("_c")
+    x = x.withColumn("_c", F.when(same | (F.row_number().over(w) == 1), 0).otherwise(1)).withColumn("_in", F.sum("_c").over(w))
+    if block is None:
+        return x.withColumn(out, (F.col("_in") + 1).cast("bigint")).drop("_blk", "_c", "_in")
+    place, own = F.struct(*order), F.struct(*values)
+    parts = x.groupBy(*group, "_blk").agg(F.min_by(own, place).alias("_first"), F.max_by(own, place).alias("_last"), F.sum("_c").alias("_n"))
+    over = Window.partitionBy(*group).orderBy("_blk")
+    fresh = F.when(F.row_number().over(over) == 1, 1).when(F.lag("_last").over(over).eqNullSafe(F.col("_first")), 0).otherwise(1)
+    parts = parts.withColumn("_new", fresh).withColumn("_base", F.sum(F.col("_new") + F.col("_n")).over(over.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n"))
+    keys = [F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]
+    bases = parts.select(*keys, F.col("_blk").alias("_bk"), "_base")
+    on = F.col("_blk").eqNullSafe(F.col("_bk"))
+    for i, g in enumerate(group):
+        on = on & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    return x.join(bases, on).withColumn(out, (F.col("_base") + F.col("_in")).cast("bigint")).drop("_blk", "_c", "_in", "_bk", "_base", *[f"_g{i}" for i in range(len(group))])
 
 
 def neighbours(df: DataFrame, group: str, order: str, value: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def overlaps(a: DataFrame, b: DataFrame, key: str, a_begin: str, a_end: str, b_begin: str, b_end: str, width: int = 4096) -> DataFrame:
@@ -28,13 +29,27 @@ def contains(a: DataFrame, b: DataFrame, key: str, a_begin: str, a_end: str, b_b
     return overlaps(a, b, key, a_begin, a_end, b_begin, b_end).filter((F.col(a_begin) <= F.col(b_begin)) & (F.col(b_end) <= F.col(a_end)))
 
 
-def as_of(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, value: str, out: str) -> DataFrame:
+def as_of(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, value: str, out: str, width: float = 86_400.0) -> DataFrame:
     """Adds ``out``: the ``value`` of the latest right row of the key that isn't later than the left row; null if none.
 
-    One shuffle by key of the union of both sides; of right rows of one time the greatest value counts.
+    Both sides' union is cut into buckets of ``width`` (seconds, or units of a number) for each key. What a bucket
+    inherits from those before is found over the buckets' last values, so a key with very many rows is spread over tasks.
+    Of right rows of one time the greatest value counts; null times and null values on the right are left out.
     """
     names = left.columns
-    l = left.select(F.struct(*names).alias("_row"), F.col(key).alias("_k"), F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast(right.schema[value].dataType).alias("_v"))
-    r = right.select(F.lit(None).cast(l.schema["_row"].dataType).alias("_row"), F.col(key).alias("_k"), F.col(right_time).alias("_t"), F.lit(0).alias("_side"), F.col(value).alias("_v"))
-    w = Window.partitionBy("_k").orderBy("_t", "_side", "_v").rowsBetween(Window.unboundedPreceding, 0)
-    return l.unionByName(r).withColumn(out, F.last("_v", ignorenulls=True).over(w)).filter("_side = 1").select("_row.*", out)
+    kind = right.schema[value].dataType
+    l = left.select(F.struct(*names).alias("_row"), F.col(key).alias("_k"), F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast(kind).alias("_v"))
+    r = right.select(F.lit(None).cast(l.schema["_row"].dataType).alias("_row"), F.col(key).alias("_k"), F.col(right_time).alias("_t"), F.lit(0).alias("_side"), F.col(value).alias("_v")).filter("_t is not null and _v is not null")
+    t = F.col("_t")
+    if isinstance(l.schema["_t"].dataType, T.TimestampNTZType):  # as it stands, whatever the session's zone
+        t = F.unix_date(t.cast("date")) * 86_400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+    u = l.unionByName(r).withColumn("_b", F.floor(t.cast("double") / width))
+    w = Window.partitionBy("_k", "_b").orderBy("_t", "_side", "_v").rowsBetween(Window.unboundedPreceding, 0)
+    inside = u.withColumn("_in", F.last("_v", ignorenulls=True).over(w)).filter("_side = 1")
+    last = F.max_by("_v", F.when(F.col("_side") == 0, F.struct("_t", "_v")))
+    buckets = u.groupBy(F.col("_k").alias("_bk"), F.col("_b").alias("_bb")).agg(last.alias("_last"))
+    before = Window.partitionBy("_bk").orderBy("_bb").rowsBetween(Window.unboundedPreceding, -1)
+    carried = buckets.withColumn("_before", F.last("_last", ignorenulls=True).over(before)).drop("_last")
+    j = inside.join(carried, F.col("_k").eqNullSafe(F.col("_bk")) & F.col("_b").eqNullSafe(F.col("_bb")), "left")
+    found = F.when(F.col("_t").isNotNull(), F.coalesce("_in", "_before"))
+    return j.select("_row.*", found.alias(out))

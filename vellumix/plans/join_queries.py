@@ -255,5 +255,5 @@ def adjacent_runs(spark: SparkSession, d: str) -> DataFrame:
 
 @R.query("user_runs_by_type", "select user_id, cast(run as bigint) as run, min(event_type) as event_type, count(*) as n from (select *, sum(changed) over (partition by user_id order by ts, event_id) as run from (select *, case when lag(event_type) over (partition by user_id order by ts, event_id) = event_type then 0 else 1 end as changed from events)) group by user_id, run")
 def user_runs_by_type(spark: SparkSession, d: str) -> DataFrame:
-    r = sequences.runs(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], ["event_type"], "run")
+    r = sequences.runs(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], ["event_type"], "run", F.unix_date(F.col("ts").cast("date")))
     return r.groupBy("user_id", "run").agg(F.min("event_type").alias("event_type"), F.count(F.lit(1)).alias("n"))
