@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from .boost import Boosted
-from .names import edits
+from .names import edits, spread
 
 # Marks with which a line may break a word, and letters that period spelling and misreading exchange.
 MARKS = "„¬=⸗~­—-"
@@ -55,6 +55,8 @@ def alike(a: str, b: str) -> bool:
     """Whether two heads are the same but for misread or missing letters."""
     if len(a) < 5 or len(b) < 5:
         return False
+    if edits(a[:8], b[:8], 3) > 3:
+        return False
     short, long = sorted((a, b), key=len)
     most = max(1, len(short) // 5)
     return edits(a, b, most) <= most or (len(short) >= 9 and edits(short, long[: len(short)], most) <= most)
@@ -342,6 +344,7 @@ def corrections(words: DataFrame, lexicon: DataFrame, most_known: int = 20_000)
 
     shared = grams(suspects, "w").join(F.broadcast(grams(known, "c")), "g").groupBy("w", "n_w", "edits", "c", "n_c").agg(F.count(F.lit(1)).alias("hits"))
     near = shared.filter(F.col("hits") >= F.greatest(F.length("w"), F.length("c")) + 1 - 3 * F.col("edits")).filter(F.levenshtein("w", "c") <= F.col("edits") + 1)
+    near = near.repartition(spread(words), "w")
 
     @F.pandas_udf("double")
     def score(w: pd.Series, c: pd.Series, n_w: pd.Series, n_c: pd.Series) -> pd.Series:
