@@ -221,6 +221,20 @@ def test_scan_noise_parts():
     assert noise.bare("„Schip-") == "schip"
 
 
+def test_furniture_in_a_large_region():
+    def page(*texts):
+        return [{"region": "r", "kind": "paragraph", "text": t, "id": str(i), "line_ord": i} for i, t in enumerate(texts)]
+
+    body = ["onse schipper kwam gisteren met", "een brief naar de haven ende", "verzocht den koning om rijst en", "zilver, waerop de gouverneur dese"]
+    near = [{"step": 1, "v": ["Copie missiven van Orembang 1775", "60", "schip dat", "ende van", "x y", "z y", "w y"]}, {"step": -1, "v": ["Copie missiven van Orembanq 1775", "58", "schip met", "ende tot", "x z", "z z", "w z"]}]
+    judge = noise.Furniture(Boosted(), {}).judge
+    assert judge(page("Copie missiven van Orembang 1775", "59", *body), near).tolist() == [True, True] + [False] * 4
+    assert judge(page("- 59 -", *body), None).tolist() == [True] + [False] * 4
+    assert judge(page(*body, "brief"), near).tolist() == [False] * 5
+    assert judge(page(*body, "schip"), near).tolist() == [False] * 4 + [True]  # the next page goes on so behind its head
+    assert not any(judge(page("520:-", "59:-", *body, "765", "ad 7:3:-"), near))  # sums
+
+
 def test_scan_noise(spark, data):
     import os
 

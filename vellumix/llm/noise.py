@@ -24,6 +24,8 @@ _EDGE = "".join(map(re.escape, MARKS + ".,;:()[]'\"!?°*/"))
 _STRIP = re.compile(rf"^[{_EDGE}]+|[{_EDGE}]+$")
 _NUMBER = re.compile(r"^\W*(?:(?:fol|f|pag|p|blz|page|folio|no)\b[.° ]*)?\W*(\d{1,4}|[ivxlcdm]{1,9})\W*(?:r|v|ro|vo)?\W*$", re.I)
 _SIGNATURE = re.compile(r"^[A-Z][a-z]?\s?(?:[ivxj]{1,4}|\d{1,2})?\W*$")
+_FOLIO = re.compile(r"^\W*(?:fol|f|pag|p|blz|page|folio)\b[.:°\s]+\W*\d{1,4}\W*$|^\W*[\[(\-–—]\s*\d{1,4}\s*[\])\-–—]\W*$", re.I)
+_SUM = re.compile(r":\W*$")
 _ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100, "d": 500, "m": 1000}
 FURNITURE = ("page-number", "header", "catch-word", "signature-mark")
 
@@ -62,6 +64,12 @@ def alike(a: str, b: str) -> bool:
     return edits(a, b, most) <= most or (len(short) >= 9 and edits(short, long[: len(short)], most) <= most)
 
 
+def whole(a: str, b: str) -> bool:
+    """Whether two heads are the same from end to end but for misread or missing letters."""
+    most = max(1, min(len(a), len(b)) // 5)
+    return edits(a, b, most) <= most
+
+
 def once(lines: DataFrame) -> DataFrame:
     """Each line's latest delivery."""
     cols = [c for c in lines.columns if c in ("text_region_id", "page_id", "inv_nr", "page_no", "line_ord", "text")]
@@ -97,9 +105,10 @@ def furniture_features(lines: list, near: list | None) -> np.ndarray:
         sizes[x["region"]] = sizes.get(x["region"], 0) + 1
     edges = {e["step"]: list(e["v"]) for e in (near if near is not None else [])}
     heads = [[letters(t) for t in v] for v in edges.values()]
+    firsts = [v[:3] for v in heads]
     numbers = {s: {k for t in v if (k := number(t)) is not None} for s, v in edges.items()}
     starts = [bare(t.split()[0]) for t in edges.get(1, [])[:4] if t.split()]
-    out = np.zeros((n, 12))
+    out = np.zeros((n, 14))
     for i, x in enumerate(lines):
         text = x["text"].strip()
         words = text.split()
@@ -108,14 +117,33 @@ def furniture_features(lines: list, near: list | None) -> np.ndarray:
         k = number(text)
         follows = sum(k is not None and k + s in numbers[s] for s in numbers) if edge else 0
         letter = letters(text)
-        shared = sum(any(alike(letter, h) for h in v) for v in heads) if top < 4 else 0
+        like = [[h for h in v if alike(letter, h)] for v in heads] if top < 4 else []
+        shared = sum(map(bool, like))
+        same = sum(any(whole(letter, h) for h in v if h in top3) for v, top3 in zip(like, firsts))
         w = bare(words[-1]) if len(words) <= 2 and words else ""
         caught = bool(w) and bottom < 3 and any(s == w or (len(w) > 3 and edits(s, w, 1) <= 1) for s in starts)
         sign = bottom < 3 and bool(_SIGNATURE.match(text)) and len(text) < 8
-        out[i] = (min(top, 6), min(bottom, 6), min(sizes[x["region"]], 6), k is not None, follows, shared, caught, sign, len(words), len(text), n, edge and text[:1].islower())
+        out[i] = (min(top, 6), min(bottom, 6), min(sizes[x["region"]], 6), k is not None, follows, shared, caught, sign, len(words), len(text), n, edge and text[:1].islower(), same, edge and bool(_FOLIO.match(text)) and not _SUM.search(text))
     return out
 
 
+def borne_out(lines: list, x: np.ndarray) -> np.ndarray:
+    """Which lines numbering, repetition, the next page or their own form show to be furniture, whatever their region.
+
+    These are numbers that neighbour pages continue (one page is enough in the first two lines), explicit folio lines, heads
+    that neighbour pages repeat (one page from end to end in the first two lines, where headings of pieces seldom stand),
+    catch-words, and signatures with a number in the last line.
+    """
+    edge = (x[:, 0] < 4) | (x[:, 1] < 3)
+    money = np.array([bool(_SUM.search(k["text"].strip())) for k in lines], dtype=bool)
+    first = x[:, 0] < 2
+    numbered = (x[:, 3] > 0) & ~money & ((x[:, 4] >= 2) | ((x[:, 4] >= 1) & first))
+    head = ((x[:, 12] >= 2) | (first & ((x[:, 12] >= 1) | (x[:, 5] >= 3)))) & (x[:, 11] == 0) & (x[:, 0] < 4)
+    caught = (x[:, 6] > 0) & (x[:, 8] == 1) & (x[:, 1] == 0)
+    signed = (x[:, 7] > 0) & (x[:, 1] == 0) & np.array([bool(re.search(r"\d|\s[ivxj]+\W*$", k["text"].strip())) for k in lines], dtype=bool)
+    return edge & (numbered | (x[:, 13] > 0) | head | caught | signed)
+
+
 class Furniture:
     """Judges lines by boosted trees, and then by what kinds of region furniture and text are found in."""
 
@@ -124,16 +152,17 @@ class Furniture:
 
     @classmethod
     def fit(cls, sample: list) -> Furniture:
-        xs, kinds = [], []
+        xs, kinds, borne = [], [], []
         for lines, near in sample:
             xs.append(furniture_features(lines, near))
+            borne.append(borne_out(lines, xs[-1]))
             kinds += [x["kind"] for x in lines]
         if not xs:
             return cls(Boosted(), {})
         x = np.concatenate(xs)
         typed = np.array([k in FURNITURE for k in kinds])
         single = x[:, 2] <= 2
-        y = typed & single & ((x[:, 0] < 4) | (x[:, 1] < 3)) & (~np.array([k == "header" for k in kinds]) | (x[:, 5] > 0) | (x[:, 3] > 0))
+        y = typed & (single | np.concatenate(borne)) & ((x[:, 0] < 4) | (x[:, 1] < 3)) & (~np.array([k == "header" for k in kinds]) | (x[:, 5] > 0) | (x[:, 3] > 0))
         known = np.array([k != "" for k in kinds])
         model = Boosted(trees=40, depth=4).fit(x[known], y[known])
         p = 1 / (1 + np.exp(-model.logit(x)))
@@ -148,11 +177,11 @@ class Furniture:
         x = furniture_features(lines, near)
         score = self.model.logit(x) + np.array([self.kinds.get(k["kind"], 0.0) for k in lines])
         # What numbering, repetition or the next page bears out outweighs a wrong kind of region.
-        borne_out = (x[:, 4] >= 2) | (x[:, 5] >= 3) | ((x[:, 6] > 0) & (x[:, 8] == 1)) | ((x[:, 7] > 0) & (x[:, 1] == 0))
-        score = score + 2.5 * (borne_out & (x[:, 2] == 1))
+        likely = (x[:, 4] >= 2) | (x[:, 5] >= 3) | ((x[:, 6] > 0) & (x[:, 8] == 1)) | ((x[:, 7] > 0) & (x[:, 1] == 0))
+        score = score + 2.5 * (likely & (x[:, 2] == 1))
         # An exact check: sums stand in columns, pieces' headings aren't repeated, and text fills more than a line.
         form = (x[:, 3] > 0) | (x[:, 5] > 0) | (x[:, 6] > 0) | (x[:, 7] > 0)
-        return (score > 0) & form & (x[:, 2] <= 2)
+        return ((score > 0) & form) | borne_out(lines, x)
 
 
 def judged(p: DataFrame, most_pages: int = 1500) -> DataFrame:
