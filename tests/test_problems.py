@@ -157,6 +157,20 @@ def test_zones_from_ingestion_times(spark):
     assert {(r.g, r.zone, r.violations) for r in got.collect()} == {(z, z, 0) for z in ("UTC", "Asia/Jakarta", "America/Paramaribo")}
 
 
+ZONELESS = ["15-01-2020 20:00:00", "15/01/2020 20.00.00", "2020-01-15 08:00:00 PM", "15 januari 2020 20:00", "20200115T200000", "2020-01-15T20:00:00.5", "2020-01-15 20:00:00"]
+
+
+def test_zone_estimate_reads_every_shape_and_no_declaration(spark, tmp_path):
+    import datetime as dt
+
+    made = dt.datetime(2020, 1, 15, 13, 5)  # 20:05 in Jakarta
+    rows = [(f"s{i}", "AttributeAssignment", "UTC", t, z, made) for i, (t, z) in enumerate(zip(ZONELESS, ["2020-01-15T13:00:00Z", "1579093200000", "2020-01-15", "x", None, "", "2020-01-15 10:00:00+02"]))]
+    spark.createDataFrame(rows + rows[:2], "span_id string, span_type string, source_tz string, begin_of_the_begin string, end_of_the_end string, recorded_at timestamp").write.parquet(f"{tmp_path}/time_spans.parquet")
+    from vellumix.plans import problems
+
+    assert [tuple(r) for r in problems.p4_zones(spark, str(tmp_path)).collect()] == [("UTC", "Asia/Jakarta", 0, len(ZONELESS))]
+
+
 UNITS = [("pond", "pond", "weight", "lood", 32, ["ponden", "lb", "℔"]), ("lood", "lood", "weight", "lood", 1, ["looden"]), ("gulden", "gulden", "money", "penning", 320, ["ƒ", "gl."]), ("stuiver", "stuiver", "money", "penning", 16, ["st."]), ("penning", "penning", "money", "penning", 1, []), ("rijksdaalder", "rijksdaalder", "money", "penning", 800, ["rd„s"])]
 QUANTS = [
     (1, "16", "duijsent stuijvers", None, None, ("penning", 256_000)), (2, "979:4:-", "", None, "ƒ 979:4:-", ("penning", 979 * 320 + 64)), (3, None, None, None, "4 ℔ 9 lood", ("lood", 137)),

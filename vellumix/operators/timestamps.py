@@ -119,6 +119,14 @@ def with_utc(df: DataFrame, column: str, zone: str, last: Column | bool, out: st
     return p.withColumn(out, F.coalesce(wall, calendar)).drop(*_TEMP, "_h24", "_day", "_cal", "_local", "_off", "_utc")
 
 
+def with_local(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Adds ``out``: the wall clock (timestamp_ntz) of a text with a clock time and no zone, in any shape; else null."""
+    p = with_parts(df, column)
+    p = p.withColumns({"_bare": F.col("_h").isNotNull() & F.col("_z").isNull(), "_none": F.lit(None).cast("string")}).drop(*_TEMP)
+    p = with_utc(p, column, "_none", False, "_wall")  # without a zone, UTC is the wall clock
+    return p.withColumn(out, F.when(F.col("_bare"), F.rtrim(F.translate("_wall", "TZ", " "))).try_cast("timestamp_ntz")).drop("_bare", "_none", "_wall")
+
+
 def with_date(df: DataFrame, column: str, out: str) -> DataFrame:
     """Adds ``out``: a date text as ``YYYY-MM-DD``, ``YYYY-MM`` or ``YYYY``, as precise as it is; null without definite date.
 

@@ -59,11 +59,14 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 @R.query("p4_zones")
 def p4_zones(spark: SparkSession, d: str) -> DataFrame:
-    """The zone of each source_tz group of the clock times without zone, as their ingestion times and declarations tell it."""
-    local = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}$"
-    t = table(spark, d, "time_spans").filter("span_type = 'AttributeAssignment'").select("source_tz", F.col("recorded_at").cast("timestamp_ntz").alias("made"), F.explode(F.array("begin_of_the_begin", "end_of_the_end")).alias("text"))
-    t = t.withColumn("local", F.when(F.col("text").rlike(local), F.translate("text", "T", " ")).try_cast("timestamp_ntz"))
-    return timestamps.estimate_zones(t, "source_tz", "local", "made", ["UTC", "Europe/Amsterdam", "Asia/Jakarta", "America/Paramaribo"], slack_s=3600, zone="source_tz")
+    """The zone that ingestion times tell for each source_tz group of the clock times without zone, whatever their shape.
+
+    The declaration is the group, so it is no evidence. Re-sent rows count once. Nothing is converted with the result.
+    """
+    t = table(spark, d, "time_spans").filter("span_type = 'AttributeAssignment'").withColumn("made", F.col("recorded_at").cast("timestamp_ntz"))
+    t = timestamps.fields(t, "span_id", ["begin_of_the_begin", "end_of_the_end"], "source_tz", "made")
+    t = timestamps.readable(timestamps.with_local(t, "text", "local"), "local")
+    return timestamps.estimate_zones(t, "source_tz", "local", "made", ["UTC", "Europe/Amsterdam", "Asia/Jakarta", "America/Paramaribo"], slack_s=3600)
 
 
 @R.query("p7_found")
