@@ -144,31 +144,56 @@ def test_dates_as_precise_as_they_are(spark):
     assert [(r.t, r.n) for r in timestamps.with_date(df, "t", "n").orderBy("i").collect()] == DATES
 
 
+ZONES = ["UTC", "Europe/Amsterdam", "Asia/Jakarta", "America/Paramaribo"]
+
+
 def test_zones_from_ingestion_times(spark):
     rng = random.Random(1)
     rows = []
     for zone, shift in (("Asia/Jakarta", 7), ("America/Paramaribo", -3), ("UTC", 0)):
         for _ in range(50):
             at = 1_600_000_000 + rng.randrange(10**7)
-            rows.append((zone, at + shift * 3600, at + rng.randrange(60, 1200)))
-    rows += [(None, None, 5), ("UTC", None, None)]
-    df = spark.createDataFrame(rows, "g string, l bigint, u bigint").select("g", F.timestamp_seconds("l").cast("timestamp_ntz").alias("local"), F.timestamp_seconds("u").cast("timestamp_ntz").alias("made"))
-    got = timestamps.estimate_zones(df, "g", "local", "made", ["UTC", "Asia/Jakarta", "America/Paramaribo"])
-    assert {(r.g, r.zone, r.violations) for r in got.collect()} == {(z, z, 0) for z in ("UTC", "Asia/Jakarta", "America/Paramaribo")}
+            rows.append((zone, at + shift * 3600, at - rng.randrange(60, 1200), at + rng.randrange(60, 1200)))
+    rows += [(None, None, 5, 6), ("UTC", None, None, None)]
+    ts = lambda c: F.timestamp_seconds(c).cast("timestamp_ntz")
+    df = spark.createDataFrame(rows, "group string, l bigint, a bigint, b bigint").select("group", ts("l").alias("local"), ts("a").alias("low"), ts("b").alias("high"), F.lit(None).cast("int").alias("offset"))
+    got = timestamps.estimate_zones(df, ["UTC", "Asia/Jakarta", "America/Paramaribo"])
+    assert {tuple(r) for r in got.collect()} == {(z, z, 0, 50) for z in ("UTC", "Asia/Jakarta", "America/Paramaribo")}
+    assert timestamps.estimate_zones(df.limit(0), ZONES).collect() == []
 
 
-ZONELESS = ["15-01-2020 20:00:00", "15/01/2020 20.00.00", "2020-01-15 08:00:00 PM", "15 januari 2020 20:00", "20200115T200000", "2020-01-15T20:00:00.5", "2020-01-15 20:00:00"]
+SPANS = "span_id string, source_tz string, begin_of_the_begin string, end_of_the_end string, recorded_at timestamp, span_type string"
 
 
-def test_zone_estimate_reads_every_shape_and_no_declaration(spark, tmp_path):
+def test_zones_of_records_whose_declaration_is_hidden(spark, tmp_path):
+    """Clocks of four places, summer and winter, in several shapes; the group is a source name, not the zone."""
     import datetime as dt
-
-    made = dt.datetime(2020, 1, 15, 13, 5)  # 20:05 in Jakarta
-    rows = [(f"s{i}", "AttributeAssignment", "UTC", t, z, made) for i, (t, z) in enumerate(zip(ZONELESS, ["2020-01-15T13:00:00Z", "1579093200000", "2020-01-15", "x", None, "", "2020-01-15 10:00:00+02"]))]
-    spark.createDataFrame(rows + rows[:2], "span_id string, span_type string, source_tz string, begin_of_the_begin string, end_of_the_end string, recorded_at timestamp").write.parquet(f"{tmp_path}/time_spans.parquet")
+    from zoneinfo import ZoneInfo
+
+    rng, rows = random.Random(2), []
+    shapes = ["%d-%m-%Y %H:%M:%S", "%d/%m/%Y %H.%M.%S", "%Y-%m-%d %I:%M:%S %p", "%Y%m%dT%H%M%S", "%Y-%m-%dT%H:%M:%S.5"]
+    for z in ZONES:
+        for i in range(40):
+            a = dt.datetime.fromtimestamp(1_500_000_000 + rng.randrange(10**8), dt.UTC)
+            b = a + dt.timedelta(seconds=rng.randrange(1, 86_400))
+            bare = lambda t: t.astimezone(ZoneInfo(z)).strftime(rng.choice(shapes))  # noqa: E731, B023
+            sure = lambda t: rng.choice([t.strftime("%Y-%m-%dT%H:%M:%SZ"), str(int(t.timestamp()))])
+            rows.append((f"{z}{i}", f"source of {z}", *((bare(a), sure(b)) if i % 2 else (sure(a), bare(b))), a, ""))
+        rows.append((f"{z}!", f"source of {z}", "2020-07-01 10:00:00+02:00" if "Ams" in z else "x", None, None, ""))
+    df = spark.createDataFrame(rows + rows[:30], SPANS)
+    got = timestamps.estimate_zones(timestamps.evidence(df, "span_id", "source_tz", "begin_of_the_begin", "end_of_the_end", 86_400), ZONES)
+    assert {(r["group"], r.zone, r.violations) for r in got.collect()} == {(f"source of {z}", z, 0) for z in ZONES}
+
+
+def test_rows_without_a_known_zone_take_the_estimated_one(spark, tmp_path):
     from vellumix.plans import problems
 
-    assert [tuple(r) for r in problems.p4_zones(spark, str(tmp_path)).collect()] == [("UTC", "Asia/Jakarta", 0, len(ZONELESS))]
+    rows = [(f"s{i}", None if i % 2 else "Nowhere/Else", f"2020-01-{10 + i} 20:00:00", f"2020-01-{10 + i}T13:0{i}:00Z", None, "") for i in range(6)] + [("z", "Europe/Amsterdam", "2020-07-01 10:00:00", None, None, "")]
+    spark.createDataFrame(rows, SPANS).write.parquet(f"{tmp_path}/time_spans.parquet")
+    spark.createDataFrame([], "id string, datum string, datum_numeriek string").write.parquet(f"{tmp_path}/missives.parquet")
+    got = {r.rec_id: r.norm for r in problems.p4_found(spark, str(tmp_path)).filter("field = 'begin_of_the_begin'").collect()}
+    assert got == {f"s{i}": f"2020-01-{10 + i}T13:00:00Z" for i in range(6)} | {"z": "2020-07-01T08:00:00Z"}
+    assert {(r.source_tz, r.zone) for r in problems.p4_zones(spark, str(tmp_path)).collect()} == {(None, "Asia/Jakarta"), ("Nowhere/Else", "Asia/Jakarta")}
 
 
 UNITS = [("pond", "pond", "weight", "lood", 32, ["ponden", "lb", "℔"]), ("lood", "lood", "weight", "lood", 1, ["looden"]), ("gulden", "gulden", "money", "penning", 320, ["ƒ", "gl."]), ("stuiver", "stuiver", "money", "penning", 16, ["st."]), ("penning", "penning", "money", "penning", 1, []), ("rijksdaalder", "rijksdaalder", "money", "penning", 800, ["rd„s"])]

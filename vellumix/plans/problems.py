@@ -47,9 +47,22 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return nodes.select(F.col("id").alias("annotation_id"), "node_path", "parent_path")
 
 
+#: The zones in whose offset histories the archive's clocks can have run; UTC first, as TESTDATA.md's default. No record spans more than a day.
+ZONES = ["UTC", "Europe/Amsterdam", "Asia/Jakarta", "America/Paramaribo"]
+DAY_S = 86_400
+
+
+def _zone_evidence(t: DataFrame) -> DataFrame:
+    return timestamps.evidence(t, "span_id", "source_tz", "begin_of_the_begin", "end_of_the_end", DAY_S)
+
+
 @R.query("p4_found")
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    spans = timestamps.fields(table(spark, d, "time_spans"), "span_id", ["begin_of_the_begin", "end_of_the_end"], "source_tz")
+    """Times are converted with the declared zone; rows without a (known) one with the zone that evidence tells of them."""
+    t = table(spark, d, "time_spans").withColumn("source_tz", timestamps.known_zone("source_tz"))
+    told = timestamps.estimate_zones(_zone_evidence(t.filter("source_tz is null")), ZONES).first()  # one group, so at most one row
+    t = t.withColumn("source_tz", F.coalesce("source_tz", F.lit(told.zone if told else "UTC")))
+    spans = timestamps.fields(t, "span_id", ["begin_of_the_begin", "end_of_the_end"], "source_tz")
     spans = timestamps.with_utc(spans, "text", "source_tz", F.col("field") == "end_of_the_end", "norm")
     dates = timestamps.fields(table(spark, d, "missives"), "id", ["datum", "datum_numeriek"])
     dates = timestamps.with_date(dates, "text", "norm")
@@ -59,14 +72,8 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 @R.query("p4_zones")
 def p4_zones(spark: SparkSession, d: str) -> DataFrame:
-    """The zone that ingestion times tell for each source_tz group of the clock times without zone, whatever their shape.
-
-    The declaration is the group, so it is no evidence. Re-sent rows count once. Nothing is converted with the result.
-    """
-    t = table(spark, d, "time_spans").filter("span_type = 'AttributeAssignment'").withColumn("made", F.col("recorded_at").cast("timestamp_ntz"))
-    t = timestamps.fields(t, "span_id", ["begin_of_the_begin", "end_of_the_end"], "source_tz", "made")
-    t = timestamps.readable(timestamps.with_local(t, "text", "local"), "local")
-    return timestamps.estimate_zones(t, "source_tz", "local", "made", ["UTC", "Europe/Amsterdam", "Asia/Jakarta", "America/Paramaribo"], slack_s=3600)
+    """The zone that the times of each source_tz group tell, the declaration itself being no evidence; re-sent rows count once."""
+    return timestamps.estimate_zones(_zone_evidence(table(spark, d, "time_spans")), ZONES).withColumnRenamed("group", "source_tz")
 
 
 @R.query("p7_found")
