@@ -216,9 +216,21 @@ def test_amounts_in_common_units(spark):
         quantities.to_common(q, u, n, most=3)
 
 
+def test_amounts_of_odd_fractions_sizes_and_copies(spark):
+    u = spark.createDataFrame([("vat", "vat", "volume", "kan", 22, []), ("kan", "kan", "volume", "kan", 1, [])], "unit_name string, label string, dimension string, common_unit string, per_unit bigint, spellings array<string>")
+    n = spark.createDataFrame([], "word string, num bigint")
+    rows = [(1, "1/11", "vat"), (2, "3/22", "vat"), (3, "1/7", "vat"), (4, "0,0000000000005", "kan"), (5, str(10**17), "vat"), (6, str(10**18), "vat"), (7, "2", "kan"), (7, "3", "kan"), (8, "1/2000003", "vat")]
+    q = spark.createDataFrame(rows, "quant_id bigint, value string, unit string").withColumns({"unit_name": F.lit(None).cast("string"), "exact": F.lit(None).cast("string")})
+    assert sorted(map(tuple, quantities.to_common(q, u, n).collect())) == [(1, "kan", 2), (2, "kan", 3), (5, "kan", 22 * 10**17), (7, "kan", 2), (7, "kan", 3)]
+    assert len(quantities.conversion_table(spark, u).collect()) == 2
+
+
 def test_shortest_compositions_and_cycles():
     c = quantities.compositions([("c", "k", "1", "273.15"), ("f", "c", "5/9", "-160/9"), ("k", "r", "9/5", "0")])
     assert c["f", "r"][:2] == (Fraction(1), Fraction("459.67")) and c["f", "r"][2] == 3
     assert c["r", "f"][:2] == (Fraction(1), -Fraction("459.67"))
+    assert quantities.compositions([("c", "k", "1", "273.15"), ("f", "c", "5/9", "-160/9")], {"k"}).keys() == {("c", "k"), ("f", "k"), ("k", "k")}
+    with pytest.raises(ValueError):
+        quantities.compositions([("a", "b", "2", "0"), ("b", "c", "2", "0"), ("c", "a", "1/5", "0"), ("x", "y", "1", "0")], {"y"})
     with pytest.raises(ValueError):
         quantities.compositions([("a", "b", "2", "0"), ("b", "c", "2", "0"), ("c", "a", "1/5", "0")])

@@ -201,20 +201,19 @@ def paired_words(words: Column) -> Column:
     return F.when(size > 0, F.aggregate(F.sequence(F.lit(0), size - 1), start, step, lambda s: s["out"])).otherwise(F.array().cast("array<struct<text:string,n:int>>"))
 
 
-def word_places(text: Column, words: Column, window: int = 10_000) -> Column:
+def word_places(text: Column, words: Column) -> Column:
     """Array of (ord, begin, end): where each word that has a letter or digit stands, searched from the end of the one before.
 
-    Break marks at a word's edges are left off. A word must begin within its length and ``window`` characters; a word that
-    isn't found has no place, and the search goes on for the next from the same point.
+    Break marks at a word's edges are left off. The whole text behind that end is searched; a word that isn't found has no
+    place, and the search goes on for the next from the same point.
     """
     start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), F.array().cast("array<struct<ord:int,begin:int,end:int>>").alias("out"))
 
     def step(s: Column, w: Column) -> Column:
         bare = F.regexp_replace(F.regexp_replace(w, "^[„¬]+", ""), "[„¬]+$", "")
-        hit = F.position(bare, F.substring(text, s["at"] + 1, F.length(bare) + window))
-        begin = s["at"] + hit - 1
+        begin = F.position(bare, text, s["at"] + 1) - 1
         place = F.struct(s["i"].alias("ord"), begin.alias("begin"), (begin + F.length(bare)).alias("end"))
-        found = bare.rlike(r"[\p{L}\p{N}]") & (hit > 0)
+        found = bare.rlike(r"[\p{L}\p{N}]") & (begin >= 0)
         return F.when(found, F.struct((begin + F.length(bare)).alias("at"), (s["i"] + 1).alias("i"), F.concat(s["out"], F.array(place)).alias("out"))).otherwise(F.struct(s["at"].alias("at"), (s["i"] + 1).alias("i"), s["out"].alias("out")))
 
     return F.aggregate(words, start, step, lambda s: s["out"])

@@ -195,10 +195,11 @@ def unit_edges(units: DataFrame) -> DataFrame:
     return units.filter("unit_name is not null and common_unit is not null and per_unit > 0").select(F.col("unit_name").alias("source"), F.col("common_unit").alias("target"), F.col("per_unit").cast("string").alias("factor"), F.lit("0").alias("shift")).distinct()
 
 
-def compositions(edges: Iterable[tuple[str, str, str, str]]) -> dict[tuple[str, str], tuple[Fraction, Fraction, int]]:
-    """Shortest compositions of affine conversions between all connected units: (source, target) -> (factor, shift, edges).
+def compositions(edges: Iterable[tuple[str, str, str, str]], targets: set[str] | None = None) -> dict[tuple[str, str], tuple[Fraction, Fraction, int]]:
+    """Shortest compositions of affine conversions: (source, target) -> (factor, shift, edges), of all connected units, or only to ``targets``.
 
-    Every edge counts in both directions. Raises ValueError where two ways round a cycle disagree.
+    Every edge counts in both directions. Raises ValueError where two ways round a cycle disagree. Each target is reached by
+    one breadth-first walk from it whose conversions are turned round, so the work grows with targets x units.
     """
     graph: dict[str, list[tuple[str, Fraction, Fraction]]] = defaultdict(list)
     for a, b, f, s in edges:
@@ -208,19 +209,31 @@ def compositions(edges: Iterable[tuple[str, str, str, str]]) -> dict[tuple[str,
         graph[a].append((b, factor, shift))
         graph[b].append((a, 1 / factor, -shift / factor))
     out: dict[tuple[str, str], tuple[Fraction, Fraction, int]] = {}
-    for root in sorted(graph):
-        out[root, root] = (Fraction(1), Fraction(0), 0)
+    walked: set[str] = set()
+
+    def walk(root: str) -> dict[str, tuple[Fraction, Fraction, int]]:
+        seen = {root: (Fraction(1), Fraction(0), 0)}
         todo = deque([root])
         while todo:
             u = todo.popleft()
-            f, s, n = out[root, u]
+            f, s, n = seen[u]
             for v, g, h in graph[u]:
                 found = (g * f, g * s + h)
-                if (root, v) not in out:
-                    out[root, v] = (*found, n + 1)
+                if v not in seen:
+                    seen[v] = (*found, n + 1)
                     todo.append(v)
-                elif out[root, v][:2] != found:
-                    raise ValueError(f"conversions of {root} to {v} disagree: {out[root, v][:2]} and {found}")
+                elif seen[v][:2] != found:
+                    raise ValueError(f"conversions of {root} to {v} disagree: {seen[v][:2]} and {found}")
+        return seen
+
+    for target in sorted(graph if targets is None else targets & set(graph)):
+        seen = walk(target)
+        walked |= set(seen)
+        for u, (f, s, n) in seen.items():
+            out[u, target] = (1 / f, -s / f, n)
+    for u in sorted(graph):  # components without a target are checked as well
+        if u not in walked:
+            walked |= set(walk(u))
     return out
 
 
@@ -232,10 +245,16 @@ def _small(df: DataFrame, most: int) -> list:
 
 
 def conversion_table(spark: SparkSession, units: DataFrame, most: int = 10_000) -> DataFrame:
-    """(source, target, num, den, shift_num, shift_den, steps) for every pair of connected units; ``most`` edges at most."""
-    edges = _small(unit_edges(units), most)
-    rows = [(a, b, f.numerator, f.denominator, s.numerator, s.denominator, n) for (a, b), (f, s, n) in compositions([tuple(e) for e in edges]).items()]
-    return spark.createDataFrame(rows, "source string, target string, num bigint, den bigint, shift_num bigint, shift_den bigint, steps int")
+    """(source, target, num, den, steps, shifted) to the common units, one row for each unit; whole numbers as text.
+
+    At most ``most`` edges, and as many rows, else ValueError.
+    """
+    edges = [tuple(e) for e in _small(unit_edges(units), most)]
+    found = compositions(edges, {b for _, b, _, _ in edges})
+    rows = [(a, b, str(f.numerator), str(f.denominator), n, s != 0) for (a, b), (f, s, n) in found.items()]
+    if len(rows) > most:
+        raise ValueError(f"more than {most} conversions")
+    return spark.createDataFrame(rows, "source string, target string, num string, den string, steps int, shifted boolean")
 
 
 def to_common(quants: DataFrame, units: DataFrame, numbers: DataFrame, id_col: str = "quant_id", most: int = 10_000) -> DataFrame:
@@ -244,15 +263,16 @@ def to_common(quants: DataFrame, units: DataFrame, numbers: DataFrame, id_col: s
     ``units`` (unit_name, label, common_unit, per_unit, spellings) and ``numbers`` (word, num) are reference tables of at
     most ``most`` rows, else ValueError. Records are read in Arrow batches to parts (number, unit); the parts meet the
     precomputed compositions by an equi-join on source unit, which also names the dimension's common unit, and are
-    summed. Records with parts of two dimensions, without known unit, with ranges or indefinite amounts, or whose sum is
-    not whole give no row. Equal records sent again come out once; null ids are left out.
+    summed as exact fractions of any size. Records with parts of two dimensions, without known unit, with ranges or
+    indefinite amounts, whose sum isn't whole or has no place in 64 bits give no row. Equal records sent again come out
+    once, other contents under the same id for themselves; null ids are left out.
     """
     spark = quants.sparkSession
     known = [(r.unit_name, [x for x in [r.label, *(r.spellings or [])] if x]) for r in _small(units.select("unit_name", "label", "spellings").filter("unit_name is not null"), most)]
     exact, folded = spelling_index(known)
     words = {r.word: r.num for r in _small(numbers.filter("word is not null and num is not null"), most)}
     reader = Reader(exact, folded, words)
-    part = T.StructType([T.StructField("n", T.LongType()), T.StructField("d", T.LongType()), T.StructField("source", T.StringType())])
+    part = T.StructType([T.StructField("n", T.StringType()), T.StructField("d", T.StringType()), T.StructField("source", T.StringType())])
 
     @F.pandas_udf(T.ArrayType(part))
     def read(columns: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -264,20 +284,23 @@ def to_common(quants: DataFrame, units: DataFrame, numbers: DataFrame, id_col: s
                     if len(memo) > 100_000:
                         memo.clear()
                     found = reader.record(*key)
-                    fits = found and all(0 <= n.numerator < 1 << 53 and n.denominator < 1 << 20 for n, _ in found)
-                    memo[key] = [{"n": n.numerator, "d": n.denominator, "source": u} for n, u in found] if fits else None
+                    memo[key] = [{"n": str(n.numerator), "d": str(n.denominator), "source": u} for n, u in found] if found else None
                 out.append(memo[key])
             yield pd.Series(out)
 
-    common = units.filter("common_unit is not null").select(F.col("common_unit").alias("target")).distinct()
-    table = conversion_table(spark, units, most).join(F.broadcast(common), "target", "left_semi")
-    rows = quants.select(F.col(id_col).alias("_id"), "value", "unit", "unit_name", "exact").filter("_id is not null").distinct()
-    parts = rows.select("_id", F.hash("value", "unit", "unit_name", "exact").alias("_copy"), read("value", "unit", "unit_name", "exact").alias("p")).filter(F.size("p") > 0).select("_id", "_copy", F.size("p").alias("_parts"), F.explode("p").alias("p")).select("_id", "_copy", "_parts", "p.*")
-    wide = "decimal(38,0)"
-    joined = parts.join(F.broadcast(table), "source").withColumns({"_n": F.col("n").cast(wide) * F.col("num"), "_den": F.col("d") * F.col("den")})
-    # Numbers over one denominator each; 5040 * 10^6 is a multiple of every denominator a reader makes of glyphs and six decimals.
-    scale = F.lit(5_040_000_000).cast("decimal(20,0)")
-    scaled = F.col("_n") * (scale / F.col("_den")).cast("decimal(20,0)")
-    total = joined.filter(F.lit(5_040_000_000) % F.col("_den") == 0).groupBy("_id", "_copy", "_parts").agg(F.count(F.lit(1)).alias("_found"), F.min("target").alias("common_unit"), F.max("target").alias("_other"), F.sum(scaled).alias("_sum"))
-    whole = total.filter("_found = _parts and common_unit = _other and _sum % 5040000000 = 0")
-    return whole.select(F.col("_id").alias(id_col), "common_unit", (F.col("_sum") / scale).cast("bigint").alias("amount")).distinct()
+    @F.pandas_udf("bigint")
+    def whole_sum(parts: pd.Series) -> pd.Series:
+        def one(ps: list) -> int | None:
+            t = sum((Fraction(int(p["n"]) * int(p["num"]), int(p["d"]) * int(p["den"])) for p in ps), Fraction(0))
+            return t.numerator if t.denominator == 1 and t.numerator < 1 << 63 else None
+
+        return pd.Series([one(ps) for ps in parts], dtype="Int64")
+
+    own = ["value", "unit", "unit_name", "exact"]
+    table = conversion_table(spark, units, most).filter("not shifted").drop("shifted", "steps")
+    rows = quants.select(F.col(id_col).alias("_id"), *own).filter("_id is not null").distinct()
+    parts = rows.withColumn("p", read(*own)).filter(F.size("p") > 0).select("_id", *own, F.size("p").alias("_parts"), F.explode("p").alias("p")).select("_id", *own, "_parts", "p.*")
+    # The records are already spread by these columns, so summing needs no second shuffle.
+    total = parts.join(F.broadcast(table), "source").groupBy("_id", *own, "_parts").agg(F.count(F.lit(1)).alias("_found"), F.min("target").alias("common_unit"), F.max("target").alias("_other"), F.collect_list(F.struct("n", "d", "num", "den")).alias("p"))
+    fit = total.filter("_found = _parts and common_unit = _other").select(F.col("_id").alias(id_col), "common_unit", whole_sum("p").alias("amount"))
+    return fit.filter("amount is not null").distinct()

@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..sources.tables import table
 
-LINES = "lines as (select distinct id, text_region_id, page_id, inv_nr, page_no, line_ord, text from px_lines where length(trim(text)) > 0)"
+LINES = "lines as (select id, text_region_id, page_id, inv_nr, page_no, line_ord, text from (select *, row_number() over (partition by id order by received_at desc nulls last, text desc nulls last, line_ord desc nulls last, page_id desc nulls last) as r from px_lines where id is not null) where r = 1 and length(trim(text)) > 0)"
 KINDS = "kinds as (select id as text_region_id, max(case when lower(coalesce(structure_type, '')) like 'structure {type:%' then regexp_extract(lower(structure_type), 'type:([^;}]*)', 1) else lower(coalesce(structure_type, '')) end) as kind, max(coords) as coords, min(region_ord) as region_ord, max(inv_nr) as inv_nr, max(page_id) as page_id, max(page_no) as page_no from px_regions group by id)"
 PAGES = "pages as (select page_id, inv_nr, page_no, string_agg(text, chr(10) order by line_ord, id) as page_text, count(*) as n_lines from lines group by all)"
 SPANS = "spans as (select distinct annotation_id, page_id, tag, text, start_in_page, end_in_page, start_in_doc, end_in_doc from ner_records where page_id is not null and end_in_page > start_in_page)"
 
 
 def lines(spark: SparkSession, d: str) -> DataFrame:
-    """Lines that aren't empty, re-sent ones once."""
-    return table(spark, d, "px_lines").filter(F.length(F.trim("text")) > 0).select("id", "text_region_id", "page_id", "inv_nr", "page_no", "line_ord", "text").distinct()
+    """The latest delivery of each line, without those that are empty; a combining aggregation comes before the shuffle."""
+    own = ("text_region_id", "page_id", "inv_nr", "page_no", "line_ord", "text")
+    latest = F.max_by(F.struct(*own), F.struct("received_at", "text", "line_ord", "page_id"))
+    return table(spark, d, "px_lines").filter("id is not null").groupBy("id").agg(latest.alias("x")).select("id", "x.*").filter(F.length(F.trim("text")) > 0)
 
 
 def kinds(spark: SparkSession, d: str) -> DataFrame:

@@ -14,6 +14,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -41,9 +42,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); a local one is made only where none is set."""
+    """The folder all executors share (``spark.checkpoint.dir``).
+
+    A local one is made only where none is set and driver and executors are one machine; on a cluster that is an error,
+    as executors would write where the driver can't read.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="vellumix-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
@@ -52,6 +59,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder."""
+    """Cut lineage with a reliable checkpoint in the shared folder.
+
+    The session's cleaner removes its files once nothing refers to it (``cleanCheckpoints`` in ``SETTINGS``).
+    """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager)

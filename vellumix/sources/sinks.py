@@ -44,12 +44,20 @@ def changed_only(df: DataFrame, code: str) -> DataFrame:
 
 
 def swap(df: DataFrame, path: str) -> None:
-    """Rewrites a table that ``df`` reads: written beside it first, then put in its place."""
+    """Rewrites a table that ``df`` reads: written beside it, the old one renamed aside, the new one put in its place.
+
+    At no time is there less than one whole copy: after a crash between the renames the old one stands under ``.old``.
+    """
     spark = df.sparkSession
     fs = spark._jvm.org.apache.hadoop.fs
     conf = spark._jsc.hadoopConfiguration()
-    old, new = fs.Path(path), fs.Path(path.rstrip("/") + ".new")
+    here, new, old = (fs.Path(path.rstrip("/") + end) for end in ("", ".new", ".old"))
     df.write.mode("overwrite").parquet(new.toString())
-    disk = old.getFileSystem(conf)
+    disk = here.getFileSystem(conf)
+    if disk.exists(here):
+        disk.delete(old, True)
+        if not disk.rename(here, old):
+            raise OSError(f"{path} can't be renamed")
+    if not disk.rename(new, here):
+        raise OSError(f"{path}.new can't be renamed")
     disk.delete(old, True)
-    disk.rename(new, old)
