@@ -205,6 +205,45 @@ def test_components(spark):
     assert got["n020"] == "n000" and got["n040"] == "n021" and got["n059"] == "n059" and len(got) == 60
 
 
+def average_linkage(n, sims, threshold):
+    """One closest pair at a time, over all pairs."""
+    groups = {i: [i] for i in range(n)}
+    mean = lambda a, b: sum(sims.get((min(i, j), max(i, j)), 0) for i in groups[a] for j in groups[b]) / (len(groups[a]) * len(groups[b]))
+    while len(groups) > 1:
+        m, a, b = min((-round(mean(a, b), 9), a, b) for a in groups for b in groups if a < b)
+        if -m < threshold:
+            break
+        groups[a] += groups.pop(b)
+    return {i: k for k, g in groups.items() for i in g}
+
+
+def test_linkage_in_a_task_and_apart(spark):
+    rng = random.Random(8)
+    for n in (2, 9, 24):
+        sims = {(i, j): round(rng.random(), 4) for i in range(n) for j in range(i + 1, n) if rng.random() < 0.6}
+        want = average_linkage(n, sims, 0.45)
+        got = names.link([(a, b, s) for (a, b), s in sims.items()], 0.45)
+        assert all(want[i] == got.get(i, i) for i in range(n))
+        if n == 24:
+            e = spark.createDataFrame([(f"n{a:02d}", f"n{b:02d}", s) for (a, b), s in sims.items()], "a string, b string, s double")
+            apart = {int(r.id[1:]): int(r.cluster[1:]) for r in names.link_apart(e, 0.45).collect()}
+            assert apart == {i: got[i] for i in apart}
+    assert names.link([], 0.5) == {}
+
+
+def test_a_large_family_keeps_its_links(spark):
+    """Surnames chained by one letter each, 2,000 of them: every person keeps the forms, whether in a task or apart."""
+    rng = random.Random(9)
+    word = list("stramelkodinfurg")
+    rows = []
+    for i in range(2000):
+        word[i % len(word)] = rng.choice("abdefgiklmnoprstu")
+        rows.append((f"{'ABCDEFGHIJKLMNOP'[i % 16]}uko {''.join(word).title()}", f"{'ABCDEFGHIJKLMNOP'[i % 16]}. {''.join(word).title()}"))
+    df = spark.createDataFrame([("Person", *r) for r in rows], "tag string, text string, pref_label string")
+    e = {r.name: r.entity for r in names.entities(df, ["text", "pref_label"], "tag = 'Group'").collect()}
+    assert sum(e[a] == e[b] for a, b in rows) > 0.99 * len(rows)
+
+
 def test_boosting_learns_an_interaction():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(2000, 3))

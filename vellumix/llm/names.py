@@ -4,11 +4,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
@@ -51,7 +49,7 @@ BODIES = {"societeit": "so[ks]", "handelshuis": "handelsh|firma", "boedelhuis":
 FILLERS = {"en", "ende", "zonen", "soonen", "sonen", "zoonen", "zn", "soons", "justitie", "justitien", "just", "generale", "co", "&"}
 
 _CANON = {form: line.split()[0] for line in GIVEN.split("\n") for form in line.split()}
-THRESHOLD = 0.3
+THRESHOLD = 0.2
 LINK = 0.5
 
 
@@ -189,43 +187,70 @@ def core_likeness(a: str, b: str) -> float:
     return max(near, 0.8 if begins else 0.0)
 
 
-def link(items: list[tuple[str, str, str]], threshold: float = LINK) -> list[int]:
-    """Average-linkage clusters of distinct parsed names: the number of each one's cluster.
+def weight(cos: float) -> float:
+    """What a cosine of surnames is worth in a likeness of names: full from 0.6 on, 0.7 at the threshold of 0.2."""
+    return min(1.0, 0.55 + 0.75 * cos)
 
-    The closest clusters are merged first, by the mean likeness of their members, until none reaches the threshold.
+
+def link(edges: list[tuple[int, int, float]], threshold: float = LINK) -> dict[int, int]:
+    """Average-linkage clusters over sparse ``edges`` (a, b, likeness): the smallest member of each node's cluster.
+
+    A pair without an edge has likeness 0. In each round all pairs of clusters that are each other's closest are merged, the
+    mean likeness of their members deciding, then the smaller numbers; average linkage is reducible, so this gives
+    the tree of merging one closest pair at a time. It ends where no mean reaches the threshold.
     """
-    n = len(items)
-    sim = np.zeros((n, n), np.float32)
-    for i in range(n):
-        for j in range(i):
-            x = agree(items[i][1], items[j][1], 0.0 if items[i][1] or items[j][1] else 1.0)
-            if x:
-                y = agree(items[i][2], items[j][2], 0.85)
-                sim[i, j] = sim[j, i] = x * y * core_likeness(items[i][0], items[j][0]) if y else 0
-    label = np.arange(n)
-    size = np.ones(n)
-    alive = np.ones(n, bool)
-    best = sim.argmax(1) if n > 1 else np.zeros(n, int)
-    while n > 1:
-        top = np.where(alive, sim[np.arange(n), best], -1)
-        i = int(top.argmax())
-        j = int(best[i])
-        if top[i] < threshold:
+    near: dict[int, dict[int, float]] = {}
+    for a, b, s in edges:
+        near.setdefault(a, {})[b] = s
+        near.setdefault(b, {})[a] = s
+    size = dict.fromkeys(near, 1)
+    label = {n: n for n in near}
+    while True:
+        best = {}
+        for a, own in near.items():
+            live = [(-round(s / (size[a] * size[b]), 9), min(a, b), max(a, b)) for b, s in own.items()]
+            if live and -min(live)[0] >= threshold:
+                best[a] = min(live)
+        merged = {hi: lo for _, lo, hi in {v for k, v in best.items() if best.get(v[1] if v[2] == k else v[2]) == v}}
+        if not merged:
             break
-        merged = (sim[i] * size[i] + sim[j] * size[j]) / (size[i] + size[j])
-        sim[i], sim[:, i] = merged, merged
-        sim[i, i] = 0
-        sim[j] = sim[:, j] = 0
-        size[i] += size[j]
-        alive[j] = False
-        label[label == j] = i
-        stale = np.flatnonzero(alive & ((best == i) | (best == j)))
-        best[i] = sim[i].argmax()
-        better = alive & (sim[np.arange(n), best] < sim[:, i])
-        best[better] = i
-        for k in stale:
-            best[k] = sim[k].argmax()
-    return label.tolist()
+        for hi, lo in merged.items():
+            size[lo] += size.pop(hi)
+        label = {n: merged.get(c, c) for n, c in label.items()}
+        fresh: dict[int, dict[int, float]] = {}
+        for a, own in near.items():
+            x = merged.get(a, a)
+            row = fresh.setdefault(x, {})
+            for b, s in own.items():
+                y = merged.get(b, b)
+                if x != y:
+                    row[y] = row.get(y, 0.0) + s
+        near = fresh
+    return label
+
+
+def link_apart(edges: DataFrame, threshold: float = LINK) -> DataFrame:
+    """(id, cluster) of the ends of ``edges`` (a, b, s; a before b): the clusters of ``link``, by rounds of joins.
+
+    No group meets in a task: each round finds the closest cluster of each by an aggregation, merges those that are each
+    other's, and sums the edges between what is left. It ends when nothing merges; a round merges the closest pair at least.
+    """
+    e = cut(edges.select("a", "b", "s"))
+    lab = cut(e.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("cluster", F.col("id")))
+    while True:
+        size = lab.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+        na, nb = size.select(F.col("cluster").alias("a"), F.col("n").alias("na")), size.select(F.col("cluster").alias("b"), F.col("n").alias("nb"))
+        mean = F.round(F.col("s") / (F.col("na") * F.col("nb")), 9)
+        live = e.join(na, "a").join(nb, "b").select("a", "b", mean.alias("m")).filter(F.col("m") >= threshold)
+        pair = F.struct((-F.col("m")).alias("m"), F.col("a").alias("lo"), F.col("b").alias("hi"))
+        best = live.select(F.explode(F.array("a", "b")).alias("end"), pair.alias("p")).groupBy("end").agg(F.min("p").alias("p"))
+        merged = cut(best.groupBy("p").agg(F.count(F.lit(1)).alias("n")).filter("n = 2").select("p.hi", "p.lo"))
+        if not merged.limit(1).count():
+            return lab
+        lab = cut(lab.join(merged, lab.cluster == merged.hi, "left").select("id", F.coalesce("lo", "cluster").alias("cluster")))
+        for end in ("a", "b"):
+            e = e.join(merged, e[end] == merged.hi, "left").withColumn(end, F.coalesce("lo", end)).drop("hi", "lo")
+        e = cut(e.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "s").groupBy("a", "b").agg(F.sum("s").alias("s")))
 
 
 def vectors(cores: DataFrame, threshold: float) -> DataFrame:
@@ -272,31 +297,84 @@ def cosine_pairs(cores: DataFrame, threshold: float = THRESHOLD, within: int = 4
     return cand.join(va, "a").join(vb, "b").select("a", "b", dot.alias("cos")).filter(F.col("cos") >= threshold)
 
 
-def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(core, family): the smallest core reachable over ``edges`` (a, b); labels jump to their label's label each round."""
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(core, family): the smallest core reachable over ``edges`` (a, b).
+
+    Labels jump to their label's label each round, which at least halves what is left of every path, until none changes.
+    """
     both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     lab = cut(nodes.select("core", F.col("core").alias("family")))
-    for _ in range(most_rounds):
+    while True:
         near = both.join(lab, both.b == lab.core).groupBy("a").agg(F.min("family").alias("near"))
         step = lab.join(near, lab.core == near.a, "left").select("core", "family", F.least("family", F.coalesce("near", "family")).alias("low"))
         jump = step.select(F.col("core").alias("low"), F.col("low").alias("root"))
         new = cut(step.join(jump, "low", "left").select("core", "family", F.least("low", F.coalesce("root", "low")).alias("new")))
-        changed = new.filter("new <> family").limit(1).count()
         lab = new.select("core", F.col("new").alias("family"))
-        if not changed:
-            break
-    return lab
+        if not new.filter("new <> family").limit(1).count():
+            return lab
+
+
+def name_edges(items: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b, s) of the ids of parsed names (id, core, first, second) whose likeness is above 0, a before b.
+
+    Names meet that have one surname or two of ``pairs`` (a, b, near), and the same first letter of their given name or
+    the same kind of body: others have likeness 0. The likeness is that of the surnames times how far given names and
+    patronymics agree.
+    """
+    keyed = items.withColumn("block", F.when(F.col("first").startswith("#"), F.col("first")).otherwise(F.substring("first", 1, 1)))
+    x = keyed.select(F.col("id").alias("a"), F.col("core").alias("ca"), F.col("first").alias("fa"), F.col("second").alias("sa"), "block")
+    y = keyed.select(F.col("id").alias("b"), F.col("core").alias("cb"), F.col("first").alias("fb"), F.col("second").alias("sb"), "block")
+    near = pairs.select(F.col("a").alias("ca"), F.col("b").alias("cb"), "near")
+    same = x.join(y, (F.col("ca") == F.col("cb")) & (x.block == y.block) & (F.col("a") < F.col("b"))).withColumn("near", F.lit(1.0))
+    other = x.join(near, "ca").join(y.withColumnRenamed("block", "_block"), "cb").filter("block = _block")
+    cols = ["a", "b", "fa", "sa", "fb", "sb", "near"]
+
+    @F.pandas_udf("double")
+    def like(fa: pd.Series, sa: pd.Series, fb: pd.Series, sb: pd.Series, near: pd.Series) -> pd.Series:
+        out = []
+        for a, c, b, d, z in zip(fa, sa, fb, sb, near):
+            x = agree(a, b, 0.0 if a or b else 1.0)
+            out.append(x * agree(c, d, 0.85) * z if x else 0.0)
+        return pd.Series(out, dtype="float64")
 
+    both = same.select(*cols).unionByName(other.select(*cols)).repartition(spread(items), "a", "b")
+    e = both.withColumn("s", like("fa", "sa", "fb", "sb", "near")).filter("s > 0")
+    return e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "s")
 
-def entities(rows: DataFrame, columns: list[str], group: str, threshold: float = THRESHOLD, linkage: float = LINK, most_block: int = 1500) -> DataFrame:
+
+def clusters(items: DataFrame, edges: DataFrame, linkage: float, most_local: int) -> DataFrame:
+    """(id, cluster) of all ``items`` by average linkage over ``edges``.
+
+    Two clusters can only merge where some pair of theirs reaches ``linkage``, so the components over such edges are
+    clustered apart from each other, each in a task; those of more than ``most_local`` edges by ``link_apart``. Both give
+    the same clusters.
+    """
+    comp = components(items.select(F.col("id").alias("core")), edges.filter(F.col("s") >= linkage))
+    fa, fb = comp.select(F.col("core").alias("a"), F.col("family").alias("fa")), comp.select(F.col("core").alias("b"), F.col("family").alias("fb"))
+    inner = edges.join(fa, "a").join(fb, "b").filter("fa = fb").select("a", "b", "s", F.col("fa").alias("family"))
+    inner = cut(inner.join(inner.groupBy("family").agg(F.count(F.lit(1)).alias("_n")), "family"))
+
+    def cluster(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
+        ids = sorted(set(block["a"]) | set(block["b"]))
+        at = {x: i for i, x in enumerate(ids)}
+        label = link([(at[a], at[b], s) for a, b, s in zip(block["a"], block["b"], block["s"])], linkage)
+        return pd.DataFrame({"id": ids, "cluster": [ids[label[i]] for i in range(len(ids))]})
+
+    small = inner.filter(F.col("_n") <= most_local).repartition(spread(items), "family").groupBy("family").applyInPandas(cluster, "id string, cluster string")
+    large = inner.filter(F.col("_n") > most_local)
+    found = small.unionByName(link_apart(large, linkage)) if large.limit(1).count() else small
+    return items.select("id").join(found, "id", "left").select("id", F.coalesce("cluster", "id").alias("cluster"))
+
+
+def entities(rows: DataFrame, columns: list[str], group: str, threshold: float = THRESHOLD, linkage: float = LINK, most_local: int = 100_000) -> DataFrame:
     """(name, entity) of every distinct string in ``columns``: strings of one person or organisation share an entity.
 
     ``group`` is a SQL condition that tells organisations from persons.
     Strings are parsed to core (surname or place), first (given name or kind of body) and second (patronymic). Distinct
-    cores are joined by the cosine of their n-gram vectors and their exact likeness to families; inside a block of one
-    family and first letter, distinct parsed names are clustered by average linkage. A family that has more than
-    ``most_block`` cores is split by asking a higher cosine, in the end equality, so that no task gets more than a
-    bounded share. Null and blank strings have no entity; repeated rows change nothing; an empty table gives no rows.
+    cores are joined by the cosine of their n-gram vectors; an exact check keeps pairs within two edits or of which one
+    begins the other. Distinct parsed names are clustered by average linkage on the likeness of their cores (the mean of the
+    cosine's worth and the edits') and the agreement of the rest, over sparse edges; no partner, family or round is cut off at any size. Null and blank strings have no
+    entity; repeated rows change nothing; an empty table gives no rows.
     """
     each = rows.select(F.explode(F.array(*columns)).alias("name"), F.coalesce(F.expr(group), F.lit(False)).alias("body")).filter("name is not null and trim(name) <> ''").distinct()
 
@@ -304,39 +382,18 @@ def entities(rows: DataFrame, columns: list[str], group: str, threshold: float =
     def parsed(s: pd.Series, body: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([parse(x, y) for x, y in zip(s, body)], columns=["core", "first", "second"])
 
-    names = cut(each.select("name", parsed("name", "body").alias("p")).select("name", "p.*"))
-    cores = names.select("core").distinct()
+    names = cut(each.select("name", parsed("name", "body").alias("p")).select("name", "p.*").withColumn("id", F.concat_ws("|", "core", "first", "second")))
+    items = cut(names.select("id", "core", "first", "second").distinct())
 
     @F.pandas_udf("double")
-    def like(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([core_likeness(x, y) for x, y in zip(a, b)], dtype="float64")
-
-    pairs = cut(cosine_pairs(cores, threshold).filter(like("a", "b") >= 0.8))
-    todo, done, level = cores, None, threshold
-    while True:
-        fam = components(todo, pairs.filter(F.col("cos") >= level))
-        sized = fam.join(fam.groupBy("family").agg(F.count(F.lit(1)).alias("_n")), "family")
-        level += 0.15
-        last = level > 1
-        fine = sized.select("core", F.when(F.lit(last), F.col("core")).otherwise(F.col("family")).alias("family")) if last else sized.filter(F.col("_n") <= most_block).select("core", "family")
-        done = fine if done is None else done.unionByName(fine)
-        if last:
-            break
-        todo = cut(sized.filter(F.col("_n") > most_block).select("core"))
-        if not todo.limit(1).count():
-            break
-        pairs = cut(pairs.join(todo.withColumnRenamed("core", "a"), "a", "left_semi").join(todo.withColumnRenamed("core", "b"), "b", "left_semi"))
-
-    def cluster(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values(["core", "first", "second"])
-        items = list(zip(block["core"], block["first"], block["second"]))
-        ids = link(items, linkage)
-        block["entity"] = [f"{key[0]}|{key[1]}|{'|'.join(items[i])}" for i in ids]
-        return block[["core", "first", "second", "entity"]]
-
-    keyed = names.select("core", "first", "second").distinct().join(done, "core").withColumn("block", F.when(F.col("first").startswith("#"), F.col("first")).otherwise(F.substring("first", 1, 1)))
-    found = keyed.repartition(spread(keyed), "family", "block").groupBy("family", "block").applyInPandas(cluster, "core string, first string, second string, entity string")
-    return names.join(found, ["core", "first", "second"]).select("name", "entity")
+    def near(a: pd.Series, b: pd.Series, cos: pd.Series) -> pd.Series:
+        edit = [core_likeness(x, y) for x, y in zip(a, b)]
+        return pd.Series([(e + weight(c)) / 2 if e >= 0.8 else 0.0 for e, c in zip(edit, cos)], dtype="float64")
+
+    pairs = cut(cosine_pairs(items.select("core").distinct(), threshold).select("a", "b", near("a", "b", "cos").alias("near")).filter("near > 0"))
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "near"))
+    edges = cut(name_edges(items, both).dropDuplicates(["a", "b"]))
+    return names.join(clusters(items, edges, linkage, most_local), "id").select("name", F.col("cluster").alias("entity"))
 
 
 def variants(rows: DataFrame, columns: list[str], group: str) -> DataFrame:
