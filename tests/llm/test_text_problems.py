@@ -256,17 +256,33 @@ def test_boosting_learns_an_interaction():
 def test_scan_noise_parts():
     assert [noise.number(t) for t in ("fol. 76", "- 281 -", "[280]", "CCI", "3o7", "f.° 62", "den brief", "")] == [76, 281, 280, 201, 307, 62, None, None]
     assert noise.alike("dagregistervandrontwijk", "dagregistervandrontwjjk") and not noise.alike("abc", "abc")
+    assert noise.alike("bewindhebberenderoostindische", "cfwjndhfbberenderoostindische")  # four errors in the first eight letters
     assert noise.op_cost("pakhnis", "pakhuis", noise.LOOKALIKES, False) == 0.25 and noise.op_cost("nadadt", "nadat", noise.SPELLINGS, True) == 0.25
     assert noise.bare("„Schip-") == "schip"
 
 
+def test_corrections_look_at_every_word(spark):
+    long = "gouverneurgeneraalenraadvannederlandschindien"
+    counts = {"schipper": 400, "schippcr": 3, "schijper": 1, long: 200, long.replace("n", "u", 1): 1, "boedelpapieren": 200, "boedelpapiercn": 1, "der": 140, "de": 6400, "hand": 50, "land": 600, "schippersschip": 2, "\u00e9\u00e9n": 5}
+    right = sorted({w.strip(".,").lower() for w in DUTCH.split()} - {"er"})
+    counts |= dict.fromkeys((w for w in right if w != "de"), 500)
+    lex = spark.createDataFrame([("schipper", 9), ("de", 9), ("land", 9), (None, 1)] + [(w, 9) for w in right], "word string, freq bigint")
+    for times in (1, 10):  # the same text ten times over is marked the same
+        words = spark.createDataFrame([(w, n * times) for w, n in counts.items()], "word string, n bigint")
+        got = {r.word: r.right for r in noise.corrections(words, lex).collect()}
+        assert got == {"schippcr": "schipper", long.replace("n", "u", 1): long, "boedelpapiercn": "boedelpapieren"} | ({"schijper": got["schijper"]} if "schijper" in got else {})
+    with pytest.raises(ValueError):
+        noise.corrections(words, lex, most_lexicon=2)
+
+
 def test_furniture_in_a_large_region():
     def page(*texts):
         return [{"region": "r", "kind": "paragraph", "text": t, "id": str(i), "line_ord": i} for i, t in enumerate(texts)]
 
     body = ["onse schipper kwam gisteren met", "een brief naar de haven ende", "verzocht den koning om rijst en", "zilver, waerop de gouverneur dese"]
     near = [{"step": 1, "v": ["Copie missiven van Orembang 1775", "60", "schip dat", "ende van", "x y", "z y", "w y"]}, {"step": -1, "v": ["Copie missiven van Orembanq 1775", "58", "schip met", "ende tot", "x z", "z z", "w z"]}]
-    judge = noise.Furniture(Boosted(), {}).judge
+    sample = [(page("Copie missiven van Orembang 1775", str(59 + i), *body), near) for i in range(0, 40)] + [(page("- 59 -", *body, "schip"), near)] * 20 + [(page(*body, "765", "ad 7:3:-"), None)] * 20
+    judge = noise.Furniture.fit(sample).judge
     assert judge(page("Copie missiven van Orembang 1775", "59", *body), near).tolist() == [True, True] + [False] * 4
     assert judge(page("- 59 -", *body), None).tolist() == [True] + [False] * 4
     assert judge(page(*body, "brief"), near).tolist() == [False] * 5

@@ -103,21 +103,35 @@ def patronymic(token: str) -> str:
 
 
 def edits(a: str, b: str, most: int) -> int:
-    """Edit distance, a swap of neighbours counted once; more than ``most`` comes out as most + 1."""
-    if abs(len(a) - len(b)) > most:
+    """Edit distance, a swap of neighbours counted once; more than ``most`` comes out as most + 1.
+
+    Columns of the distance table are held as bit vectors of vertical steps, so a letter costs a few integer operations
+    whatever the length; ``swap`` marks where this letter and the one before stand the other way round.
+    """
+    n = len(a)
+    if abs(n - len(b)) > most:
         return most + 1
-    before2, before = [], list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row = [i]
-        for j, y in enumerate(b, 1):
-            c = min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                c = min(c, before2[j - 2] + 1)
-            row.append(c)
-        if min(row) > most:
+    if a == b:
+        return 0
+    if not n:
+        return len(b)
+    at: dict[str, int] = {}
+    for i, x in enumerate(a):
+        at[x] = at.get(x, 0) | 1 << i
+    full, top = (1 << n) - 1, 1 << (n - 1)
+    up, down, diagonal, before, d = full, 0, 0, 0, n
+    for left, y in enumerate(b, 1 - len(b)):
+        here = at.get(y, 0)
+        swap = ((~diagonal & here) << 1) & before
+        diagonal = ((((here & up) + up) ^ up) | here | down | swap) & full
+        right, back = (down | ~(diagonal | up)) & full, diagonal & up
+        d += (right & top != 0) - (back & top != 0)
+        if d + left > most:  # each letter left takes away one at most
             return most + 1
-        before2, before = before, row
-    return before[-1]
+        right = (right << 1 | 1) & full
+        up, down = (back << 1 | ~(diagonal | right)) & full, diagonal & right
+        before = here
+    return min(d, most + 1)
 
 
 def parse(name: str, body: bool) -> tuple[str, str, str]:

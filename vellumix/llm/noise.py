@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -17,8 +18,8 @@ from .names import edits, spread
 
 # Marks with which a line may break a word, and letters that period spelling and misreading exchange.
 MARKS = "„¬=⸗~­—-"
-SPELLINGS = [("y", "ij"), ("y", "i"), ("ij", "i"), ("ae", "aa"), ("ae", "a"), ("gh", "g"), ("gh", "ch"), ("g", "ch"), ("dt", "t"), ("dt", "d"), ("d", "t"), ("s", "z"), ("ck", "k"), ("c", "k"), ("cx", "ks"), ("x", "ks"), ("u", "v"), ("f", "v"), ("ff", "f"), ("ph", "f"), ("uij", "ui"), ("uy", "ui"), ("ie", "i"), ("ee", "e"), ("oo", "o"), ("aa", "a"), ("uu", "u"), ("ie", "ee"), ("eu", "ue"), ("ou", "au"), ("oe", "u"), ("e", ""), ("h", ""), ("n", ""), ("tt", "t"), ("ss", "s"), ("ll", "l"), ("nn", "n"), ("ngh", "ng"), ("ij", "ei"), ("y", "ie"), ("i", "ie"), ("y", "ei"), ("s", "ss"), ("w", "uw"), ("ee", "ie"), ("e", "ie"), ("sg", "sch"), ("sgh", "sch")]
-LOOKALIKES = [("n", "u"), ("u", "n"), ("c", "e"), ("e", "c"), ("a", "o"), ("o", "a"), ("h", "b"), ("b", "h"), ("r", "v"), ("v", "r"), ("t", "r"), ("r", "t"), ("f", "s"), ("s", "f"), ("q", "g"), ("g", "q"), ("9", "g"), ("0", "o"), ("1", "l"), ("l", "i"), ("i", "l"), ("!", "i"), ("|", "l"), ("€", "e"), ("æ", "a"), ("cl", "d"), ("d", "cl"), ("lc", "k"), ("vv", "w"), ("w", "vv"), ("rn", "m"), ("m", "rn"), ("in", "m"), ("m", "in"), ("nn", "m"), ("ni", "m"), ("ri", "n"), ("n", "ri"), ("ii", "u"), ("u", "ii"), ("li", "h"), ("h", "li"), ("5", "s"), ("k", "h"), ("l", "t"), ("t", "l"), ("j", "i"), ("lj", "ij"), ("x", "r"), ("p", "y"), ("o", "e"), ("e", "o"), ("'", ""), (".", ""), (",", ""), ("|", ""), ("1", "i"), ("8", "B"), ("6", "b")]
+SPELLINGS = (("y", "ij"), ("y", "i"), ("ij", "i"), ("ae", "aa"), ("ae", "a"), ("gh", "g"), ("gh", "ch"), ("g", "ch"), ("dt", "t"), ("dt", "d"), ("d", "t"), ("s", "z"), ("ck", "k"), ("c", "k"), ("cx", "ks"), ("x", "ks"), ("u", "v"), ("f", "v"), ("ff", "f"), ("ph", "f"), ("uij", "ui"), ("uy", "ui"), ("ie", "i"), ("ee", "e"), ("oo", "o"), ("aa", "a"), ("uu", "u"), ("ie", "ee"), ("eu", "ue"), ("ou", "au"), ("oe", "u"), ("e", ""), ("h", ""), ("n", ""), ("tt", "t"), ("ss", "s"), ("ll", "l"), ("nn", "n"), ("ngh", "ng"), ("ij", "ei"), ("y", "ie"), ("i", "ie"), ("y", "ei"), ("s", "ss"), ("w", "uw"), ("ee", "ie"), ("e", "ie"), ("sg", "sch"), ("sgh", "sch"))
+LOOKALIKES = (("n", "u"), ("u", "n"), ("c", "e"), ("e", "c"), ("a", "o"), ("o", "a"), ("h", "b"), ("b", "h"), ("r", "v"), ("v", "r"), ("t", "r"), ("r", "t"), ("f", "s"), ("s", "f"), ("q", "g"), ("g", "q"), ("9", "g"), ("0", "o"), ("1", "l"), ("l", "i"), ("i", "l"), ("!", "i"), ("|", "l"), ("€", "e"), ("æ", "a"), ("cl", "d"), ("d", "cl"), ("lc", "k"), ("vv", "w"), ("w", "vv"), ("rn", "m"), ("m", "rn"), ("in", "m"), ("m", "in"), ("nn", "m"), ("ni", "m"), ("ri", "n"), ("n", "ri"), ("ii", "u"), ("u", "ii"), ("li", "h"), ("h", "li"), ("5", "s"), ("k", "h"), ("l", "t"), ("t", "l"), ("j", "i"), ("lj", "ij"), ("x", "r"), ("p", "y"), ("o", "e"), ("e", "o"), ("'", ""), (".", ""), (",", ""), ("|", ""), ("1", "i"), ("8", "B"), ("6", "b"))
 
 _EDGE = "".join(map(re.escape, MARKS + ".,;:()[]'\"!?°*/"))
 _STRIP = re.compile(rf"^[{_EDGE}]+|[{_EDGE}]+$")
@@ -57,8 +58,6 @@ def alike(a: str, b: str) -> bool:
     """Whether two heads are the same but for misread or missing letters."""
     if len(a) < 5 or len(b) < 5:
         return False
-    if edits(a[:8], b[:8], 3) > 3:
-        return False
     short, long = sorted((a, b), key=len)
     most = max(1, len(short) // 5)
     return edits(a, b, most) <= most or (len(short) >= 9 and edits(short, long[: len(short)], most) <= most)
@@ -127,12 +126,19 @@ def furniture_features(lines: list, near: list | None) -> np.ndarray:
     return out
 
 
+def with_evidence(lines: list, near: list | None) -> np.ndarray:
+    """The features of each line and, as the last of them, whether it is borne out."""
+    x = furniture_features(lines, near)
+    return np.column_stack([x, borne_out(lines, x)])
+
+
 def borne_out(lines: list, x: np.ndarray) -> np.ndarray:
     """Which lines numbering, repetition, the next page or their own form show to be furniture, whatever their region.
 
-    These are numbers that neighbour pages continue (one page is enough in the first two lines), explicit folio lines, heads
+    The trees get this as a feature. These are numbers that neighbour pages continue (one page is enough in the first two lines), explicit folio lines, heads
     that neighbour pages repeat (one page from end to end in the first two lines, where headings of pieces seldom stand),
-    catch-words, and signatures with a number in the last line.
+    catch-words, and signatures with a number in the last line; in a region of one line also catch-words and signatures of
+    any form there.
     """
     edge = (x[:, 0] < 4) | (x[:, 1] < 3)
     money = np.array([bool(_SUM.search(k["text"].strip())) for k in lines], dtype=bool)
@@ -141,29 +147,30 @@ def borne_out(lines: list, x: np.ndarray) -> np.ndarray:
     head = ((x[:, 12] >= 2) | (first & ((x[:, 12] >= 1) | (x[:, 5] >= 3)))) & (x[:, 11] == 0) & (x[:, 0] < 4)
     caught = (x[:, 6] > 0) & (x[:, 8] == 1) & (x[:, 1] == 0)
     signed = (x[:, 7] > 0) & (x[:, 1] == 0) & np.array([bool(re.search(r"\d|\s[ivxj]+\W*$", k["text"].strip())) for k in lines], dtype=bool)
-    return edge & (numbered | (x[:, 13] > 0) | head | caught | signed)
+    alone = (x[:, 2] == 1) & (((x[:, 6] > 0) & (x[:, 8] == 1)) | ((x[:, 7] > 0) & (x[:, 1] == 0)))
+    return edge & (numbered | (x[:, 13] > 0) | head | caught | signed | alone)
 
 
 class Furniture:
-    """Judges lines by boosted trees, and then by what kinds of region furniture and text are found in."""
+    """Judges lines by boosted trees and by what kinds of region furniture and text are found in."""
 
     def __init__(self, model: Boosted, kinds: dict[str, float]):
         self.model, self.kinds = model, kinds
 
     @classmethod
     def fit(cls, sample: list) -> Furniture:
-        xs, kinds, borne = [], [], []
+        """Trained on lines of typed regions and on lines that are borne out, which are furniture whatever their type."""
+        xs, kinds = [], []
         for lines, near in sample:
-            xs.append(furniture_features(lines, near))
-            borne.append(borne_out(lines, xs[-1]))
+            xs.append(with_evidence(lines, near))
             kinds += [x["kind"] for x in lines]
         if not xs:
             return cls(Boosted(), {})
         x = np.concatenate(xs)
         typed = np.array([k in FURNITURE for k in kinds])
-        single = x[:, 2] <= 2
-        y = typed & (single | np.concatenate(borne)) & ((x[:, 0] < 4) | (x[:, 1] < 3)) & (~np.array([k == "header" for k in kinds]) | (x[:, 5] > 0) | (x[:, 3] > 0))
-        known = np.array([k != "" for k in kinds])
+        single, borne = x[:, 2] <= 2, x[:, -1] > 0
+        y = borne | (typed & single & ((x[:, 0] < 4) | (x[:, 1] < 3)) & (~np.array([k == "header" for k in kinds]) | (x[:, 5] > 0) | (x[:, 3] > 0)))
+        known = np.array([k != "" for k in kinds]) | borne
         model = Boosted(trees=40, depth=4).fit(x[known], y[known])
         p = 1 / (1 + np.exp(-model.logit(x)))
         weights = {}
@@ -174,14 +181,11 @@ class Furniture:
         return cls(model, weights)
 
     def judge(self, lines: list, near: list | None) -> np.ndarray:
-        x = furniture_features(lines, near)
+        x = with_evidence(lines, near)
         score = self.model.logit(x) + np.array([self.kinds.get(k["kind"], 0.0) for k in lines])
-        # What numbering, repetition or the next page bears out outweighs a wrong kind of region.
-        likely = (x[:, 4] >= 2) | (x[:, 5] >= 3) | ((x[:, 6] > 0) & (x[:, 8] == 1)) | ((x[:, 7] > 0) & (x[:, 1] == 0))
-        score = score + 2.5 * (likely & (x[:, 2] == 1))
-        # An exact check: sums stand in columns, pieces' headings aren't repeated, and text fills more than a line.
-        form = (x[:, 3] > 0) | (x[:, 5] > 0) | (x[:, 6] > 0) | (x[:, 7] > 0)
-        return ((score > 0) & form) | borne_out(lines, x)
+        # An exact check: furniture is a number, a repeated head, a catch-word or a signature; anything else is text.
+        form = (x[:, 3] > 0) | (x[:, 5] > 0) | (x[:, 6] > 0) | (x[:, 7] > 0) | (x[:, 13] > 0)
+        return (score > 0) & form
 
 
 def judged(p: DataFrame, most_pages: int = 1500) -> DataFrame:
@@ -288,27 +292,37 @@ def broken_pairs(j: DataFrame, vocab: DataFrame, most_rows: int = 40_000) -> Dat
     return best.filter((F.col("last") != "") & (F.col("first") != "") & ~dangling & (marked | silent & ~F.col("attached"))).select("id", "next_id", "last", "first", "joined")
 
 
-def op_cost(w: str, c: str, ops: list[tuple[str, str]], both: bool) -> float:
+@lru_cache(maxsize=8)
+def _by_letter(ops: tuple[tuple[str, str], ...], both: bool) -> dict[str, list[tuple[str, str]]]:
+    """Exchanges by the first letter of what is written, those that write nothing under ''."""
+    table: dict[str, list[tuple[str, str]]] = {}
+    for a, b in [*ops, *((b, a) for a, b in ops if both)]:
+        table.setdefault(a[:1], []).append((a, b))
+    return table
+
+
+def op_cost(w: str, c: str, ops: tuple[tuple[str, str], ...], both: bool) -> float:
     """Cheapest way from ``c`` to ``w``: an exchange of ``ops`` costs 0.25, any other change of a character 1."""
-    table = [(a, b) for a, b in ops] + ([(b, a) for a, b in ops] if both else [])
+    table = _by_letter(ops, both)
     n, m = len(w), len(c)
     d = [[9.0] * (m + 1) for _ in range(n + 1)]
     d[0][0] = 0.0
     for i in range(n + 1):
+        fits = [(len(a), b) for a, b in (*table.get(w[i], ()), *table.get("", ())) if w.startswith(a, i)] if i < n else [(0, b) for _, b in table.get("", ())]
+        row, below = d[i], d[i + 1] if i < n else None
         for k in range(m + 1):
-            x = d[i][k]
+            x = row[k]
             if x >= 9:
                 continue
-            if i < n and k < m:
-                d[i + 1][k + 1] = min(d[i + 1][k + 1], x + (w[i] != c[k]))
-            if i < n:
-                d[i + 1][k] = min(d[i + 1][k], x + 1)
+            if below is not None:
+                below[k] = min(below[k], x + 1)
+                if k < m:
+                    below[k + 1] = min(below[k + 1], x + (w[i] != c[k]))
             if k < m:
-                d[i][k + 1] = min(d[i][k + 1], x + 1)
-            for a, b in table:
-                if w.startswith(a, i) and c.startswith(b, k):
-                    ni, nk = i + len(a), k + len(b)
-                    d[ni][nk] = min(d[ni][nk], x + 0.25)
+                row[k + 1] = min(row[k + 1], x + 1)
+            for size, b in fits:
+                if c.startswith(b, k):
+                    d[i + size][k + len(b)] = min(d[i + size][k + len(b)], x + 0.25)
     return d[n][m]
 
 
@@ -318,13 +332,13 @@ def ranking_features(w: str, c: str, n_w: float, n_c: float) -> tuple:
     return (op_cost(w, c, LOOKALIKES, False), op_cost(w, c, SPELLINGS, True), edits(w, c, 3), len(w), odd, math.log((n_c + 1) / (n_w + 1)), w[:1] == c[:1])
 
 
-def train_ranker(words: list[tuple[str, int]], seed: int = 5, most: int = 6000) -> Boosted:
+def train_ranker(words: list[str], seed: int = 5, most: int = 6000) -> Boosted:
     """Boosted trees that tell misreadings of known words from spellings and other words, on words made wrong by rule."""
     rng = np.random.default_rng(seed)
     xs, ys = [], []
-    pool = [(w, n) for w, n in words if len(w) > 3 and w.isalpha()]
+    pool = [w for w in words if len(w) > 3 and w.isalpha()]
     for _ in range(most if pool else 0):
-        c, n = pool[int(rng.integers(len(pool)))]
+        c = pool[int(rng.integers(len(pool)))]
         wrong = rng.random() < 0.5
         w = c
         for _ in range(1 + (rng.random() < 0.25)):
@@ -332,7 +346,7 @@ def train_ranker(words: list[tuple[str, int]], seed: int = 5, most: int = 6000)
                 i = int(rng.integers(len(w)))
                 w = w[:i] + "abcdefghijklmnoprstuvwz"[int(rng.integers(23))] + w[i + 1 :]
                 continue
-            ops = [(a, b) for a, b in (LOOKALIKES if wrong else SPELLINGS + [(b, a) for a, b in SPELLINGS]) if b in w and (b or wrong)]
+            ops = [(a, b) for a, b in (LOOKALIKES if wrong else (*SPELLINGS, *((b, a) for a, b in SPELLINGS))) if b in w and (b or wrong)]
             if ops:
                 a, b = ops[int(rng.integers(len(ops)))]
                 at = [i for i in range(1, len(w)) if w.startswith(b, i)] if not b else [i for i in range(len(w)) if w.startswith(b, i)]
@@ -340,38 +354,56 @@ def train_ranker(words: list[tuple[str, int]], seed: int = 5, most: int = 6000)
                     i = at[int(rng.integers(len(at)))]
                     w = w[:i] + a + w[i + len(b) :]
         if w != c and w:
+            n = float(round(5 * 10 ** rng.uniform(0, 4)))  # any corpus's counts
             ratio = rng.uniform(0, 0.03) if wrong else rng.uniform(0, 0.6)
-            xs.append(ranking_features(w, c, round(n * ratio), n))
+            xs.append(ranking_features(w, c, max(1, round(n * ratio)), n))
             ys.append(wrong)
     return Boosted(trees=60, depth=4).fit(np.array(xs), np.array(ys)) if xs else Boosted()
 
 
-def corrections(words: DataFrame, lexicon: DataFrame, most_known: int = 20_000) -> DataFrame:
+#: No single misreading makes up more than this share of its word, beyond what chance adds: by letters that look alike, and by any other.
+MISREAD_SHARE = 0.01
+ODD_SHARE = 0.001
+#: A spelling of a word that is so many times as frequent as it, or in the lexicon, is no misreading.
+TRUSTED = 30
+
+
+def rarer(n_w: Column, n_c: Column) -> Column:
+    """Whether a form seen ``n_w`` times can be one misreading of a word seen ``n_c`` times: the share's count, three deviations and a half."""
+    return n_w <= MISREAD_SHARE * n_c + 3 * F.sqrt(MISREAD_SHARE * n_c) + 0.5
+
+
+def corrections(words: DataFrame, lexicon: DataFrame, most_lexicon: int = 20_000) -> DataFrame:
     """(word, right, score) of the words that are misreadings, each with its best replacement.
 
-    Known words are those of the lexicon and those that make up at least a ten-thousandth of the words counted, so no
-    more than ten thousand and the lexicon; all others are looked up. Candidates share so many 2-grams with a word as two
-    edits leave (one in short words), and are then measured exactly; boosted trees choose among them.
+    Every word that isn't in the lexicon is looked up. Its candidates are all words, of the lexicon or not, beside which
+    it is rare enough for a misreading (``rarer``), whatever the size of the corpus. They are found by a join on 2-grams and length: a candidate shares
+    as many 2-grams, none moved further than edits move it, as two edits leave (one in words of up to four letters),
+    and is then measured exactly; boosted trees, trained on the lexicon (``most_lexicon`` words at most, else ValueError),
+    choose among them. Only what passes is shuffled; no word is broadcast.
     """
     spark = words.sparkSession
-    total = words.agg(F.sum("n")).first()[0] or 0
     lex = lexicon.select(F.lower("word").alias("word")).filter("word is not null").distinct().withColumn("lex", F.lit(True))
-    counted = words.join(lex, "word", "left")
-    bar = max(4.0, total * 1e-4)
-    known = cut(counted.filter((F.col("lex") | (F.col("n") >= bar)) & ~F.col("word").rlike(r"[^\p{L}]") & (F.length("word") > 1)).select("word", "n"))
-    rows = known.limit(most_known + 1).collect()
-    if len(rows) > most_known:
-        raise ValueError("more known words than the bound")
-    model = spark.sparkContext.broadcast(train_ranker([(r.word, r.n) for r in rows]))
-    suspects = words.join(known.select("word"), "word", "left_anti").filter(F.length("word").between(3, 40) & F.col("word").rlike(r"\p{L}") & (F.length(F.regexp_replace("word", r"[^\p{L}]", "")) * 2 > F.length("word")))
-    suspects = suspects.withColumn("edits", F.when(F.length("word") > 4, 2).otherwise(1))
-
-    def grams(df: DataFrame, name: str) -> DataFrame:
+    counted = cut(words.join(lex, "word", "left").withColumn("lex", F.coalesce("lex", F.lit(False))))
+    rows = lex.select("word").limit(most_lexicon + 1).collect()
+    if len(rows) > most_lexicon:
+        raise ValueError("the lexicon is larger than its bound")
+    model = spark.sparkContext.broadcast(train_ranker(sorted(r.word for r in rows)))
+    share = F.length(F.regexp_replace("word", r"[^\p{L}]", "")) * 2 > F.length("word")
+    suspects = counted.filter(~F.col("lex") & (F.length("word") > 2) & share)
+    known = counted.filter(~F.col("word").rlike(r"[^\p{L}]") & (F.length("word") > 1) & rarer(F.lit(1), F.col("n")))
+
+    def grams(df: DataFrame) -> Column:
         padded = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
-        g = F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(padded, i, 2))
-        return df.select(F.col("word").alias(name), F.col("n").alias(f"n_{name}"), *(["edits"] if "edits" in df.columns else []), F.explode(F.array_distinct(g)).alias("g"))
-
-    shared = grams(suspects, "w").join(F.broadcast(grams(known, "c")), "g").groupBy("w", "n_w", "edits", "c", "n_c").agg(F.count(F.lit(1)).alias("hits"))
+        return F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.struct(F.substring(padded, i, 2).alias("g"), i.alias("at")))
+
+    edit = F.when(F.length("word") > 4, 2).otherwise(1)
+    w = suspects.select(F.col("word").alias("w"), F.col("n").alias("n_w"), edit.alias("edits"), F.explode(grams(suspects)).alias("x"))
+    w = w.select("w", "n_w", "edits", "x.*", F.explode(F.sequence(F.length("w") - F.col("edits"), F.length("w") + F.col("edits"))).alias("size"))
+    c = known.select(F.col("word").alias("c"), F.col("n").alias("n_c"), "lex", F.length("word").alias("size"), F.explode(grams(known)).alias("y")).select("c", "n_c", "lex", "size", F.col("y.g").alias("g"), F.col("y.at").alias("c_at"))
+    moved = F.abs(F.col("at") - F.col("c_at")) <= F.col("edits")
+    shared = w.join(c, ["g", "size"]).filter(moved & (F.col("c") != F.col("w")) & rarer(F.col("n_w"), F.col("n_c")))
+    shared = shared.groupBy("w", "n_w", "edits", "c", "n_c", "lex").agg(F.count(F.lit(1)).alias("hits"))
     near = shared.filter(F.col("hits") >= F.greatest(F.length("w"), F.length("c")) + 1 - 3 * F.col("edits")).filter(F.levenshtein("w", "c") <= F.col("edits") + 1)
     near = near.repartition(spread(words), "w")
 
@@ -380,16 +412,18 @@ def corrections(words: DataFrame, lexicon: DataFrame, most_known: int = 20_000)
         if not len(w):
             return pd.Series([], dtype="float64")
         x = np.array([ranking_features(*r) for r in zip(w, c, n_w, n_c)])
-        # An exact check: two edits at most, one of them no look-alike at most, and not what spelling explains as well.
-        fits = (x[:, 2] <= np.where(x[:, 3] > 4, 2, 1)) & (x[:, 0] <= 1.0) & (x[:, 0] < x[:, 1] + 0.05) & (x[:, 5] > 1.0)
+        # An exact check: two edits at most, one of them no look-alike at most and then rare, and not what spelling explains as well.
+        odd = ODD_SHARE * n_c.to_numpy(float)
+        rare = (x[:, 0] < 0.9) | (n_w.to_numpy(float) <= odd + 3 * np.sqrt(odd) + 0.5)
+        fits = (x[:, 2] <= np.where(x[:, 3] > 4, 2, 1)) & (x[:, 0] <= 1.0) & rare & (x[:, 0] < x[:, 1] + 0.05) & (x[:, 5] > 1.0)
         return pd.Series(np.where(fits, model.value.logit(x), -9.0))
 
     @F.pandas_udf("double")
     def spelled(w: pd.Series, c: pd.Series) -> pd.Series:
         return pd.Series([op_cost(a, b, SPELLINGS, True) for a, b in zip(w, c)], dtype="float64")
 
-    best = near.withColumn("s", score("w", "c", "n_w", "n_c")).withColumn("sp", spelled("w", "c")).groupBy("w").agg(F.max_by("c", F.struct("s", "n_c", "c")).alias("right"), F.max("s").alias("score"), F.min("sp").alias("spelling"))
-    return best.filter("score > 0 and spelling > 0.5").select(F.col("w").alias("word"), "right", "score")
+    best = near.withColumn("s", score("w", "c", "n_w", "n_c")).withColumn("sp", F.when(F.col("lex") | (F.col("n_c") >= TRUSTED * F.col("n_w")), spelled("w", "c"))).groupBy("w").agg(F.max_by("c", F.struct("s", "n_c", "c")).alias("right"), F.max("s").alias("score"), F.min("sp").alias("spelling"))
+    return best.filter("score > 0 and coalesce(spelling, 9) > 0.5").select(F.col("w").alias("word"), "right", "score")
 
 
 def marks(lines: DataFrame, regions: DataFrame, lexicon: DataFrame) -> DataFrame:
