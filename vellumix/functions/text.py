@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # Marks at which a line breaks a word.
 BREAKS = ("„", "¬")
 # Two- and three-letter codes.
-ISO3 = {"nl": "nld", "fr": "fra", "la": "lat", "en": "eng", "de": "deu", "it": "ita", "pt": "por", "es": "spa", "id": "ind", "da": "dan"}
+ISO3 = {"nl": "nld", "fr": "fra", "la": "lat", "en": "eng", "de": "deu", "it": "ita", "pt": "por", "es": "spa", "id": "msa", "da": "dan"}
 # Reserved sequences of the annotation format, in the order of their replacement.
 RESERVED = [(r"\\", "\\"), (r"\[", "["), (r"\]", "]"), (r"\|", "|"), (r"\_", "_"), (r"\->", "->"), (r"\;", ";"), (r"\t", "\t"), (r"\n", "\n"), (r"\*", "*")]
 
@@ -111,6 +111,12 @@ def iso3(code: Column) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in ISO3.items() for x in kv]), code), code)
 
 
+def iso3_strict(code: Column) -> Column:
+    """Three-letter code of a two-letter one; unknown stays, any other raises."""
+    known = F.try_element_at(F.create_map(*[F.lit(x) for kv in (ISO3 | {"unknown": "unknown"}).items() for x in kv]), code)
+    return F.when(code.isNull(), code).otherwise(F.coalesce(known, F.raise_error(F.concat(F.lit("invalid language: "), code)).cast("string")))
+
+
 def unescape(c: Column) -> Column:
     for a, b in RESERVED:
         c = F.replace(c, F.lit(a), F.lit(b))
@@ -162,10 +168,14 @@ def replaced(c: Column, pairs: list[tuple[str, str]]) -> Column:
     return c
 
 
+# Signs that stand before an amount, and the units they mean.
+SIGNS = (("ƒ", "ƒ"), ("rd„s", "Rijksdaalder"), ("rp„", "Rupees"))
+
+
 def quantity_parts(c: Column) -> Column:
     """Struct (value, unit, slug) of an amount: the value ends behind the last word that has a digit or no letter.
 
-    A value with a currency sign in front and no unit gives the sign as unit.
+    A value with a currency's sign in front and no unit gives its unit; signs that stand as the unit are written out.
     """
     words = F.split(F.trim(collapse(c)), " ")
     flags = F.transform(words, lambda w: w.rlike(r"\d") | ~w.rlike(r"\p{L}"))
@@ -173,9 +183,12 @@ def quantity_parts(c: Column) -> Column:
     n = F.when(back > 0, F.size(words) - back + 1).otherwise(0).cast("int")
     value = F.array_join(F.slice(words, F.lit(1), n), " ")
     unit = F.array_join(F.slice(words, n + 1, F.size(words)), " ")
-    sign = (unit == "") & value.startswith("ƒ ")
-    u = F.when(sign, "ƒ").otherwise(unit)
-    return F.struct(F.when(sign, F.substring(value, F.lit(3), F.length(value))).otherwise(value).alias("value"), u.alias("unit"), slug(u, "-").alias("slug"))
+    v, u = value, unit
+    for sign, name in reversed(SIGNS):
+        before = (unit == "") & value.startswith(sign)
+        v = F.when(before, F.trim(F.substring(value, F.lit(len(sign) + 1), F.length(value)))).otherwise(v)
+        u = F.when(before | (F.lower(unit) == sign), name).otherwise(u)
+    return F.struct(v.alias("value"), u.alias("unit"), F.lower(F.replace(u, F.lit(" "), F.lit("-"))).alias("slug"))
 
 
 def paired_words(words: Column) -> Column:

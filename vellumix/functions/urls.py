@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 BASE = "https://data.example.org"
 # The kinds of things with addresses of their own.
-KINDS = ("concept", "inventory", "document", "person", "organisation", "polity", "ship", "place", "event", "canvas", "manifest")
+KINDS = ("concept", "inventory", "document", "person", "organisation", "polity", "ship", "place", "event", "canvas", "manifest", "image", "text", "htr")
 
 
 def thing(kind: str, key: Column, base: str = BASE) -> Column:

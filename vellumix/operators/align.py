@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import alphabet_class
@@ -46,3 +49,78 @@ def within_edits(words: DataFrame, lexicon: DataFrame, most: int = 2, least_leng
     wp = wp.select("word", "size", "i", F.substring("word", F.col("at") + F.col("s") + 1, F.col("len")).alias("p")).distinct()
     pairs = wp.join(kp, ["size", "i", "p"]).select("word", "known").distinct()
     return pairs.withColumn("dist", F.levenshtein("word", "known", most)).filter("dist >= 0")
+
+
+def find(passage: str, text: str, most: int) -> tuple[int, int, int] | None:
+    """(begin, end, errors) of the part of ``text`` that is nearest to ``passage``, None beyond ``most`` edits.
+
+    Of equally near parts the one that ends first counts, of its beginnings the longest part. Differences down a column of
+    the distance table are two bit vectors, so a character of the text costs a few operations on integers as long as the
+    passage; the beginning is found by going backwards from the end.
+    """
+
+    def ends(p: str, t: str) -> list[int]:
+        n, at = len(p), {}
+        for i, c in enumerate(p):
+            at[c] = at.get(c, 0) | 1 << i
+        full, top = (1 << n) - 1, 1 << (n - 1)
+        up, down, d, out = full, 0, n, []
+        for c in t:
+            here = at.get(c, 0)
+            zero = (((here & up) + up) ^ up) | here | down
+            right, back = (down | ~(zero | up)) & full, zero & up
+            d += (right & top != 0) - (back & top != 0)
+            right <<= 1  # a match may begin anywhere in the text
+            up, down = (back << 1 | ~(zero | right)) & full, zero & right & full
+            out.append(d)
+        return out
+
+    if not passage or not text:
+        return None
+    if (at := text.find(passage)) >= 0:  # nothing is nearer than without an error
+        return at, at + len(passage), 0
+    d = ends(passage, text)
+    errors = min(d)
+    if errors > most:
+        return None
+    end = d.index(errors) + 1
+    back = ends(passage[::-1], text[max(0, end - len(passage) - errors) : end][::-1])
+    size = max(k + 1 for k, x in enumerate(back) if x == errors)
+    return end - size, end, errors
+
+
+def aligned(pairs: DataFrame, passage: str, text: str, coverage: float = 0.85) -> DataFrame:
+    """``pairs`` with ``begin``, ``end`` and ``errors`` of the best place of ``passage`` in ``text``; pairs without one are left out.
+
+    At most 1 - ``coverage`` of the passage's characters may be wrong, missing or too many (of short ones none). Whole
+    texts of any length are searched, also passages of one word. Null and empty texts have no place. Arrow batches; no shuffle.
+    """
+    @F.pandas_udf("begin int, end int, errors int")
+    def place(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for p, t in batches:
+            found = [find(a, b, int(len(a) * (1 - coverage) + 1e-9)) if isinstance(a, str) and isinstance(b, str) else None for a, b in zip(p, t)]
+            yield pd.DataFrame([f or (None, None, None) for f in found], columns=["begin", "end", "errors"]).astype("Int32")
+
+    return pairs.withColumn("_x", place(passage, text)).filter("_x.begin is not null").select(*pairs.columns, "_x.begin", "_x.end", "_x.errors")
+
+
+def bounded_pairs(passages: DataFrame, pages: DataFrame, reach: int = 1) -> DataFrame:
+    """(id, inv, passage, text, starts): each passage with the joined text of the pages it may stand on.
+
+    ``passages`` (id, inv, first, last, passage) name the pages an edition gives, ``pages`` (inv, page_no, page_id, page_text)
+    are joined by line feeds in order; ``reach`` pages more on both sides are searched. ``starts`` holds (page_id, at): where
+    each page begins. The range is spread over its pages, so the join is on equality, and hot inventories are spread by page.
+    """
+    p = passages.filter(F.col("passage").isNotNull() & (F.col("last") >= F.col("first")))
+    each = p.select("id", "inv", F.explode(F.sequence(F.col("first") - reach, F.col("last") + reach)).alias("page_no"))
+    own = each.join(pages.select("inv", "page_no", "page_id", "page_text"), ["inv", "page_no"])
+    g = own.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("page_no", "page_id", "page_text"))).alias("l"))
+    before = lambda i: F.aggregate(F.slice("l", F.lit(1), i), F.lit(0), lambda s, x: s + F.length(x["page_text"]) + 1)
+    starts = F.transform("l", lambda x, i: F.struct(x["page_id"].alias("page_id"), before(i).alias("at")))
+    g = g.select("id", F.array_join(F.transform("l", lambda x: x["page_text"]), "\n").alias("text"), starts.alias("starts"))
+    return p.join(g, "id").select("id", "inv", "passage", "text", "starts")
+
+
+def first_page(starts: Column, begin: Column) -> Column:
+    """The first page that overlaps a place beginning at ``begin``: the last one that starts at or before it."""
+    return F.element_at(F.filter(starts, lambda s: s["at"] <= begin), -1)["page_id"]

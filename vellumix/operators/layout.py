@@ -25,3 +25,10 @@ def reading_order(regions: DataFrame, page: str, order: str, y: str, x: str, kin
 def chunks(df: DataFrame, key: str, order: list[str], size: int, out: str) -> DataFrame:
     """Adds ``out``: the number of the chunk of ``size`` rows, inside each ``key``, in ``order``."""
     return df.withColumn(out, F.floor((F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1) / size).cast("bigint"))
+
+
+def order_changed(df: DataFrame, group: list[str], order: list[str], y: str) -> DataFrame:
+    """``group`` and ``changed``: whether members (lines of a region, say) would stand otherwise in the order of ``y``; equal heights keep theirs."""
+    a, b = Window.partitionBy(*group).orderBy(*order), Window.partitionBy(*group).orderBy(y, *order)
+    moved = df.select(*group, (F.row_number().over(a) != F.row_number().over(b)).alias("_m"))
+    return moved.groupBy(*group).agg(F.bool_or("_m").alias("changed"))

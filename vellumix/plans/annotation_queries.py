@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, geometry, urls
 from ..functions import text as X
-from ..operators import align, annotate, index, layout, rdf, sequences
+from ..operators import align, annotate, gates, index, layout, rdf, sequences
 from ..sources.tables import table
 from . import views as V
 from .registry import Registry
@@ -29,12 +29,12 @@ def polygon_boxes(spark: SparkSession, d: str) -> DataFrame:
     return _boxes(spark, d).select("id", geometry.box_text(F.col("b")).alias("box"), geometry.svg_path(F.col("p")).alias("path"))
 
 
-@R.query("box_geometry", _with(_PTS) + "select id, greatest(x - 10, 0) as ex, greatest(y - 10, 0) as ey, x + w + 10 - greatest(x - 10, 0) as ew, y + h + 10 - greatest(y - 10, 0) as eh, w / h < 0.9 as portrait, x || ',' || y || ' ' || (x + w) || ',' || y || ' ' || (x + w) || ',' || (y + h) || ' ' || x || ',' || (y + h) as corners from boxes where h > 0")
+@R.query("box_geometry", _with(_PTS) + "select id, greatest(x - 10, 0) as ex, greatest(y - 10, 0) as ey, x + w + 10 - greatest(x - 10, 0) as ew, y + h + 10 - greatest(y - 10, 0) as eh, coalesce(w / nullif(h, 0) < 0.9, false) as portrait, x || ',' || y || ' ' || (x + w) || ',' || y || ' ' || (x + w) || ',' || (y + h) || ' ' || x || ',' || (y + h) as corners from boxes")
 def box_geometry(spark: SparkSession, d: str) -> DataFrame:
-    b = _boxes(spark, d).filter("b.h > 0")
+    b = _boxes(spark, d)
     e = geometry.enlarged(F.col("b"), 10)
     corners = F.array_join(F.transform(geometry.corners(F.col("b")), lambda q: F.concat_ws(",", q["x"].cast("string"), q["y"].cast("string"))), " ")
-    return b.select("id", e["x"].alias("ex"), e["y"].alias("ey"), e["w"].alias("ew"), e["h"].alias("eh"), (F.col("b.w") / F.col("b.h") < 0.9).alias("portrait"), corners.alias("corners"))
+    return b.select("id", e["x"].alias("ex"), e["y"].alias("ey"), e["w"].alias("ew"), e["h"].alias("eh"), F.coalesce(F.try_divide(F.col("b.w"), F.col("b.h")) < 0.9, F.lit(False)).alias("portrait"), corners.alias("corners"))
 
 
 _RB = _PTS + ", reg as (select k.text_region_id as id, k.page_id, k.region_ord, k.kind, b.x, b.y, b.w, b.h from kinds k join (select id, min(x) as x, min(y) as y, max(x) - min(x) as w, max(y) - min(y) as h from (select p.* from pts p join (select id, max(coords) as coords from px_regions group by id) c using (id)) group by id) b on b.id = k.text_region_id)"
@@ -62,13 +62,11 @@ def reading_order_fix(spark: SparkSession, d: str) -> DataFrame:
     return o.select("id", "region_ord", F.col("new_order.region_ord").alias("new_order"))
 
 
-@R.query("line_order_changed", _with(V.LINES) + "select text_region_id, bool_or(a <> b) as changed from (select *, row_number() over (partition by text_region_id, page_id order by line_ord, id) as a, row_number() over (partition by text_region_id, page_id order by length(text), line_ord, id) as b from lines) group by text_region_id")
-def line_order_changed(spark: SparkSession, d: str) -> DataFrame:
-    """Regions where another order of the lines (here by length, as lines have no polygon) differs from theirs."""
-    a = Window.partitionBy("text_region_id", "page_id").orderBy("line_ord", "id")
-    b = Window.partitionBy("text_region_id", "page_id").orderBy(F.length("text"), "line_ord", "id")
-    x = V.lines(spark, d).select("text_region_id", (F.row_number().over(a) != F.row_number().over(b)).alias("moved"))
-    return x.groupBy("text_region_id").agg(F.bool_or("moved").alias("changed"))
+@R.query("order_changed", _with(V.KINDS) + ", b as (select page_id, kind, region_ord, text_region_id as id, list_min(list_transform(regexp_extract_all(coords, '-?\\d+,-?\\d+'), lambda p: cast(string_split(p, ',')[2] as int))) as y from kinds) select page_id, kind, bool_or(a <> b) as changed from (select *, row_number() over (partition by page_id, kind order by region_ord, id) as a, row_number() over (partition by page_id, kind order by y, region_ord, id) as b from b where y is not null and page_id is not null) group by all")
+def order_changed(spark: SparkSession, d: str) -> DataFrame:
+    """Columns of a page (regions of one kind, as the lines of the tables have no place) that don't stand in the order of their height."""
+    k = V.kinds(spark, d).filter("page_id is not null").withColumn("y", geometry.box(geometry.points(F.col("coords")))["y"]).filter("y is not null")
+    return layout.order_changed(k, ["page_id", "kind"], ["region_ord", "text_region_id"], "y")
 
 
 @R.query("transcription_items", _with(V.LINES) + f"select page_id, '{_B}/annotation:page:' || page_id as item_id, 'page' as granularity, null as parent, null as text from (select distinct page_id from lines) union all select page_id, '{_B}/annotation:block:' || text_region_id, 'block', '{_B}/annotation:page:' || page_id, null from (select distinct page_id, text_region_id from lines) union all select page_id, '{_B}/annotation:line:' || id, 'line', '{_B}/annotation:block:' || text_region_id, text from lines")
@@ -143,11 +141,17 @@ def natural_sort_keys(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "doc_meta").filter("inventory_number is not null").select("inventory_number").distinct().select("inventory_number", a.alias("number"), b.alias("suffix"))
 
 
-@R.query("date_spans", "with v as (select id, unnest(string_split(datum_numeriek, '/')) as p from (select distinct id, datum_numeriek from missives where regexp_full_match(datum_numeriek, '\\d{4}(-\\d{2}-\\d{2})?'))) select id, min(case when length(p) = 4 then p || '-01-01' else p end) || 'T00:00:00Z' as first, max(case when length(p) = 4 then p || '-12-31' else p end) || 'T23:59:59Z' as last from v group by id")
+_ISO = "case when regexp_full_match(v, '\\d{4}-\\d{2}-\\d{2}') then v when regexp_full_match(v, '\\d{8}') then left(v, 4) || '-' || substr(v, 5, 2) || '-' || right(v, 2) when regexp_full_match(v, '\\d{2}/\\d{2}/\\d{4}') then right(v, 4) || '-' || substr(v, 4, 2) || '-' || left(v, 2) when regexp_full_match(v, '\\d{4}') then v end"
+
+
+@R.query("date_spans", f"with v as (select distinct id, upper(trim(index_nr)) as inv, trim(datum_numeriek) as v, trim(jaar) as jaar from missives where index_nr is not null), r as (select inv, concat_ws('/', nullif({_ISO}, '0000-00-00'), nullif(jaar, '')) as t from v), p as (select inv, unnest(string_split(t, '/')) as p from r where t <> '') select inv, min(case when length(p) = 4 then p || '-01-01' else p end) || 'T00:00:00Z' as first, max(case when length(p) = 4 then p || '-12-31' else p end) || 'T23:59:59Z' as last from p group by inv")
 def date_spans(spark: SparkSession, d: str) -> DataFrame:
-    m = table(spark, d, "missives").filter(F.col("datum_numeriek").rlike(r"^\d{4}(-\d{2}-\d{2})?$")).select("id", "datum_numeriek").distinct()
-    lo, hi = dates.span(F.col("datum_numeriek"))
-    return m.select("id", lo.alias("a"), hi.alias("b")).groupBy("id").agg(F.min("a").alias("first"), F.max("b").alias("last"))
+    """First and last second that an inventory's missives name, from their dates and years written ``date/year``."""
+    v = F.trim("datum_numeriek")
+    iso = F.coalesce(F.when(v.rlike(r"^(\d{4}-\d{2}-\d{2}|\d{4})$"), v), F.when(v.rlike(r"^\d{8}$"), F.regexp_replace(v, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")), F.when(v.rlike(r"^\d{2}/\d{2}/\d{4}$"), F.regexp_replace(v, r"^(\d{2})/(\d{2})/(\d{4})$", "$3-$2-$1")))
+    m = table(spark, d, "missives").filter("index_nr is not null").select(F.upper(F.trim("index_nr")).alias("inv"), F.concat_ws("/", F.nullif(iso, F.lit("0000-00-00")), F.nullif(F.trim("jaar"), F.lit(""))).alias("t")).filter("t <> ''")
+    lo, hi = dates.span(F.col("t"))
+    return m.select("inv", lo.alias("a"), hi.alias("b")).groupBy("inv").agg(F.min("a").alias("first"), F.max("b").alias("last"))
 
 
 @R.query("parent_defaults", "select distinct m.id, coalesce(nullif(trim(m.datum), ''), nullif(trim(m.jaar), ''), '(no date)') as date, coalesce(nullif(trim(m.beschrijving), ''), '(no title)') as title from missives m")
@@ -157,11 +161,18 @@ def parent_defaults(spark: SparkSession, d: str) -> DataFrame:
     return m.select("id", F.coalesce(blank("datum"), blank("jaar"), F.lit("(no date)")).alias("date"), F.coalesce(blank("beschrijving"), F.lit("(no title)")).alias("title")).distinct()
 
 
-@R.query("quantity_split", "with q as (select distinct exact, string_split(regexp_replace(trim(exact), '\\s+', ' ', 'g'), ' ') as w from quants where exact is not null and not starts_with(exact, 'ƒ')), k as (select *, coalesce(list_max(list_transform(range(1, len(w) + 1), lambda i: case when regexp_matches(w[i], '\\d') or not regexp_matches(w[i], '\\p{L}') then i else 0 end)), 0) as n from q) select exact, array_to_string(w[1:n], ' ') as value, array_to_string(w[n + 1:], ' ') as unit from k")
+_QS = (
+    "with q as (select distinct exact, string_split(trim(regexp_replace(exact, '\\s+', ' ', 'g')), ' ') as w from quants where exact is not null), k as (select *, coalesce(list_max(list_transform(range(1, len(w) + 1), lambda i: case when regexp_matches(w[i], '\\d') or not regexp_matches(w[i], '\\p{L}') then i else 0 end)), 0) as n from q), "
+    "s as (select exact, array_to_string(w[1:n], ' ') as v, array_to_string(w[n + 1:], ' ') as u from k), "
+    "a as (select exact, case when u <> '' then v when starts_with(v, 'ƒ') then trim(substr(v, 2)) when starts_with(v, 'rd„s') then trim(substr(v, 5)) when starts_with(v, 'rp„') then trim(substr(v, 4)) else v end as value, case when u = '' and starts_with(v, 'ƒ') then 'ƒ' when u = '' and starts_with(v, 'rd„s') or lower(u) = 'rd„s' then 'Rijksdaalder' when u = '' and starts_with(v, 'rp„') or lower(u) = 'rp„' then 'Rupees' else u end as unit from s) "
+    "select exact, value, unit, lower(replace(unit, ' ', '-')) as slug from a"
+)
+
+
+@R.query("quantity_split", _QS)
 def quantity_split(spark: SparkSession, d: str) -> DataFrame:
-    q = table(spark, d, "quants").filter("exact is not null and not startswith(exact, 'ƒ')").select("exact").distinct()
-    p = X.quantity_parts(F.col("exact"))
-    return q.select("exact", p["value"].alias("value"), p["unit"].alias("unit"))
+    q = table(spark, d, "quants").filter("exact is not null").select("exact").distinct()
+    return q.withColumn("p", X.quantity_parts(F.col("exact"))).select("exact", "p.value", "p.unit", "p.slug")
 
 
 @R.query("url_columns", f"select distinct page_id, '{_B}/inventory:' || inv_nr as inventory, '{_B}/canvas:' || page_id as canvas, '{_B}/annotations:entities:' || page_id as entities from px_regions")
@@ -226,12 +237,32 @@ def element_paths(spark: SparkSession, d: str) -> DataFrame:
     return n.groupBy(F.regexp_replace("node_path", r"\[\d+\]", "[]").alias("path")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@R.query("quality_gate", "select distinct id, (len(list_filter(string_split(coalesce(structure_type, 'TRUE'), ' + '), lambda x: x not in ('paragraph', 'header', 'TRUE'))) = 0 and segment_length is null) as passes from px_regions")
+_CODES = "codes as (select distinct meta_id, coalesce(scan_range, '') as scan_range, coalesce(external_id, '') as external_id, concat_ws(' + ', case when scan_start is null then '3.1.1' end, case when scan_end is null then '3.2' end, case when no_of_scans is null then '1.2' end, 'TRUE') as checks from doc_meta)"
+
+
+def _codes(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with a code for each thing that is wrong with them, as a quality check writes it."""
+    code = lambda c, v: F.when(F.col(c).isNull(), v)
+    checks = F.concat_ws(" + ", code("scan_start", "3.1.1"), code("scan_end", "3.2"), code("no_of_scans", "1.2"), F.lit("TRUE"))
+    return table(spark, d, "doc_meta").select("meta_id", F.coalesce("scan_range", F.lit("")).alias("scan_range"), F.coalesce("external_id", F.lit("")).alias("external_id"), checks.alias("checks")).distinct()
+
+
+@R.query("quality_gate", _with(_CODES) + "select meta_id, (len(list_filter(string_split(checks, ' + '), lambda x: x not in ('3.1.1', '3.1.2', '3.2', 'TRUE'))) = 0 and external_id = '') as passes from codes")
 def quality_gate(spark: SparkSession, d: str) -> DataFrame:
-    """Whether all parts of a region's code are allowed and a count is still missing."""
-    parts = F.split(F.coalesce("structure_type", F.lit("TRUE")), r" \+ ")
-    ok = (F.size(F.array_except(parts, F.array(*map(F.lit, ("paragraph", "header", "TRUE"))))) == 0) & F.col("segment_length").isNull()
-    return table(spark, d, "px_regions").select("id", ok.alias("passes")).distinct()
+    """Whether all of a document's codes are acceptable and it has no id yet."""
+    return _codes(spark, d).select("meta_id", gates.passes(F.col("checks"), F.col("external_id")).alias("passes"))
+
+
+@R.query("fixable_gate", _with(_CODES) + "select meta_id from codes where contains(checks, '3.1.1') or contains(checks, '3.1.2') or (contains(checks, '3.2') and scan_range <> '')")
+def fixable_gate(spark: SparkSession, d: str) -> DataFrame:
+    """Documents whose reading order can be mended."""
+    return _codes(spark, d).filter(gates.fixable(F.col("checks"), F.col("scan_range"))).select("meta_id")
+
+
+@R.query("linked_only", "select distinct id from missives where link_naar_eerste_scan is not null and link_naar_eerste_scan <> ''")
+def linked_only(spark: SparkSession, d: str) -> DataFrame:
+    """Records with a link to follow."""
+    return table(spark, d, "missives").filter(F.coalesce("link_naar_eerste_scan", F.lit("")) != "").select("id").distinct()
 
 
 @R.query("needs_finding", _with(V.LINES) + "select id as line_id, regexp_matches(text, '[\\p{L}\\p{N}]') as needs_finding, starts_with(text, ' ') as indented from lines")
@@ -253,25 +284,74 @@ def sequential_ids(spark: SparkSession, d: str) -> DataFrame:
     return n.select("annotation_id", F.concat("page_id", F.lit("#"), k.cast("string")).alias("local_id"))
 
 
-@R.query("alignment_candidates")
-def alignment_candidates(spark: SparkSession, d: str) -> DataFrame:
-    """Regions (as edited passages) and the documents that share three or more runs of five words with them."""
-    regions = V.lines(spark, d).groupBy("text_region_id").agg(F.array_sort(F.collect_list(F.struct("line_ord", "text"))).alias("l")).select("text_region_id", F.array_join(F.transform("l", lambda x: x["text"]), " ").alias("t"))
-    return align.candidates(align.shingles(regions, "text_region_id", "t"), align.shingles(table(spark, d, "documents"), "doc_id", "text"))
+_EDITED = "ed as (select id, inv_nr as inv, page_no as no, text as passage from (select *, row_number() over (partition by id order by received_at desc nulls last, text desc nulls last) as r from px_regions where id is not null) where r = 1 and length(trim(text)) > 0)"
+
+
+def _edited(spark: SparkSession, d: str) -> DataFrame:
+    """Regions' own texts (made at another time than the lines, so at times stale) as passages of an edition, with their page."""
+    r = table(spark, d, "px_regions").filter("id is not null").groupBy("id").agg(F.max_by(F.struct("inv_nr", "page_no", "text"), F.struct("received_at", "text")).alias("x"))
+    return r.filter(F.length(F.trim("x.text")) > 0).select("id", F.col("x.inv_nr").alias("inv"), F.col("x.page_no").alias("first"), F.col("x.page_no").alias("last"), F.col("x.text").alias("passage"))
+
+
+def _bounded(spark: SparkSession, d: str) -> DataFrame:
+    return align.bounded_pairs(_edited(spark, d), V.pages(spark, d).withColumnRenamed("inv_nr", "inv"))
+
+
+@R.query("alignment_pairs", _with(V.LINES, V.PAGES, _EDITED) + "select id, count(*) as n_pages, cast(sum(length(page_text)) + count(*) - 1 as bigint) as n_chars, min(page_no) as first_page from ed join pages p on p.inv_nr = ed.inv and p.page_no between ed.no - 1 and ed.no + 1 group by id")
+def alignment_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Each passage with the pages it is looked for on: their number and the length of their joined text."""
+    b = _bounded(spark, d)
+    first = F.element_at("starts", 1)["page_id"]
+    return b.select("id", F.size("starts").cast("bigint").alias("n_pages"), F.length("text").cast("bigint").alias("n_chars"), X.page_number(first).alias("first_page"))
+
+
+def _aligned(spark: SparkSession, d: str) -> DataFrame:
+    a = align.aligned(_bounded(spark, d), "passage", "text")
+    return a.withColumn("page_id", align.first_page(F.col("starts"), F.col("begin")))
 
 
 @R.query("alignment_best")
 def alignment_best(spark: SparkSession, d: str) -> DataFrame:
-    return align.best(alignment_candidates(spark, d))
+    """The place of each passage in its pages' text: at most 15 of 100 characters differ; and the first page it overlaps."""
+    return _aligned(spark, d).select("id", "page_id", "begin", "end", "errors", F.substring("text", F.col("begin") + 1, F.col("end") - F.col("begin")).alias("found"))
+
+
+@R.query("alignment_exact", _with(V.LINES, V.PAGES, _EDITED) + ", j as (select id, passage, string_agg(page_text, chr(10) order by page_no) as t from ed join pages p on p.inv_nr = ed.inv and p.page_no between ed.no - 1 and ed.no + 1 group by all) select id, instr(t, passage) - 1 as begin, instr(t, passage) - 1 + length(passage) as end from j where instr(t, passage) > 0")
+def alignment_exact(spark: SparkSession, d: str) -> DataFrame:
+    """The places of the passages that stand word for word in their pages: those aligned without an error."""
+    return alignment_best(spark, d).filter("errors = 0").select("id", F.col("begin").cast("bigint").alias("begin"), F.col("end").cast("bigint").alias("end"))
+
+
+@R.query("alignment_lines")
+def alignment_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Second pass: the lines that lie inside an aligned place, each aligned with the passage itself."""
+    a = _aligned(spark, d).select("id", "passage", "begin", "end", F.explode("starts").alias("s"))
+    w = Window.partitionBy("page_id").orderBy("line_ord", "id").rowsBetween(Window.unboundedPreceding, -1)
+    at = V.lines(spark, d).withColumn("b", F.coalesce(F.sum(F.length("text") + 1).over(w), F.lit(0))).select(F.col("id").alias("line_id"), "page_id", "b", "text")
+    j = a.join(at, F.col("s.page_id") == at.page_id).withColumn("b", F.col("b") + F.col("s.at"))
+    inside = j.filter((F.col("b") >= F.col("begin")) & (F.col("b") + F.length("text") <= F.col("end"))).select("id", "line_id", F.trim("text").alias("line"), "passage")
+    return align.aligned(inside, "line", "passage").select("id", "line_id", "begin", "end", "errors")
+
+
+@R.query("shared_passages")
+def shared_passages(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that share three or more runs of five words, each with the earlier one it shares most with."""
+    s = align.shingles(table(spark, d, "documents"), "doc_id", "text")
+    return align.best(align.candidates(s, s).filter("b_id < a_id"))
+
+
+_ONE_BYTE = "translate({}, 'æ⸗ƒ€ëéèïöüäáàçñ', '!#$%&()*+;<=>@^')"  # the SQL measures bytes, so each such letter becomes one of its own
 
 
-@R.query("variant_lookup", "with w as (select distinct unnest(regexp_extract_all(lower(text), '[a-z]+')) as word from px_lines where text is not null), p as (select w.word, l.word as known, levenshtein(w.word, l.word) as dist from w join (select distinct word from lexicon where regexp_full_match(word, '[a-z]+')) l on abs(length(w.word) - length(l.word)) <= 2 where length(w.word) >= 5 and length(l.word) >= 5) select word, known, cast(dist as int) as dist from p where dist <= 2")
+@R.query("variant_lookup", "with w as (select distinct unnest(regexp_extract_all(lower(text), '\\p{L}+')) as word from px_lines where text is not null), l as (select distinct word as known from lexicon), p as (select word, known, levenshtein(" + _ONE_BYTE.format("word") + ", " + _ONE_BYTE.format("known") + ") as dist from w join l on abs(length(word) - length(known)) <= 2 where length(word) >= 5 and length(known) >= 5) select word, known, cast(dist as int) as dist from p where dist <= 2")
 def variant_lookup(spark: SparkSession, d: str) -> DataFrame:
-    w = table(spark, d, "px_lines").filter("text is not null").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0)).alias("word"))
-    return align.within_edits(w, table(spark, d, "lexicon").filter(F.col("word").rlike("^[a-z]+$")))
+    w = table(spark, d, "px_lines").filter("text is not null").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0)).alias("word"))
+    return align.within_edits(w, table(spark, d, "lexicon").filter("word is not null"))
 
 
-@R.query("anagram_classes", "select k, count(distinct word) as n from (select word, array_to_string(list_sort(string_split(word, '')), '') as k from lexicon where regexp_full_match(word, '[a-z]+')) group by k having count(distinct word) > 1")
+@R.query("anagram_classes", "select k, count(distinct word) as n from (select word, array_to_string(list_sort(string_split(word, '')), '') as k from (select distinct unnest(regexp_extract_all(lower(text), '\\p{L}+')) as word from px_lines where text is not null)) group by k having count(distinct word) > 1")
 def anagram_classes(spark: SparkSession, d: str) -> DataFrame:
-    x = table(spark, d, "lexicon").filter(F.col("word").rlike("^[a-z]+$")).select("word", F.array_join(F.array_sort(F.split("word", "")), "").alias("k"))
+    """Words of all lines that consist of the same letters."""
+    w = table(spark, d, "px_lines").filter("text is not null").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0)).alias("word")).distinct()
+    x = w.select("word", F.array_join(F.array_sort(F.split("word", "")), "").alias("k"))
     return x.groupBy("k").agg(F.count_distinct("word").alias("n")).filter("n > 1")

@@ -210,7 +210,7 @@ def hash_identity(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").filter("text is not null").select("doc_id", F.md5("text").alias("digest")).groupBy("digest").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc"))
 
 
-@R.query("scalar_text", "select doc_id, length(regexp_replace(text, '\\P{L}', '', 'g')) as n_letters, sha256(page_id) as digest, regexp_replace(regexp_replace(lower(source), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') as slug, case when length(page_id) > 20 then left(page_id, 17) || '...' else page_id end as short, regexp_replace(page_id, '(\\w+)([,.?:;!()]+)', '\\1 \\2', 'g') as spaced, coalesce(case lang when 'nl' then 'nld' when 'fr' then 'fra' when 'la' then 'lat' when 'en' then 'eng' when 'de' then 'deu' when 'it' then 'ita' when 'pt' then 'por' when 'es' then 'spa' when 'id' then 'ind' when 'da' then 'dan' else lang end, '') as lang3 from documents where text is not null")
+@R.query("scalar_text", "select doc_id, length(regexp_replace(text, '\\P{L}', '', 'g')) as n_letters, sha256(page_id) as digest, regexp_replace(regexp_replace(lower(source), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') as slug, case when length(page_id) > 20 then left(page_id, 17) || '...' else page_id end as short, regexp_replace(page_id, '(\\w+)([,.?:;!()]+)', '\\1 \\2', 'g') as spaced, coalesce(case lang when 'nl' then 'nld' when 'fr' then 'fra' when 'la' then 'lat' when 'en' then 'eng' when 'de' then 'deu' when 'it' then 'ita' when 'pt' then 'por' when 'es' then 'spa' when 'id' then 'msa' when 'da' then 'dan' else lang end, '') as lang3 from documents where text is not null")
 def scalar_text(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "documents").filter("text is not null")
     return t.select("doc_id", X.letters(F.col("text")).cast("bigint").alias("n_letters"), F.sha2("page_id", 256).alias("digest"), X.slug(F.col("source")).alias("slug"), X.truncate(F.col("page_id"), 20).alias("short"), X.spaced_punctuation(F.col("page_id")).alias("spaced"), F.coalesce(X.iso3(F.col("lang")), F.lit("")).alias("lang3"))
