@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import ISO3, iso3, letters
+from ..functions.text import iso3, letters
 
 # The lexicon scores in the order of their priority.
 SCORES = ("nl_voc", "nl", "fr", "la", "en", "de", "it", "pt", "es", "id", "da")
@@ -23,6 +23,24 @@ def coverage(lines: DataFrame, lexicon: DataFrame, least: int = 3) -> DataFrame:
     return j.groupBy("id").agg(F.count(F.lit(1)).alias("n_words"), F.count("known").alias("n_known"), F.count_if(F.col("freq") >= 1000).alias("n_common"))
 
 
+# Common function words by which lines of other languages are told.
+FUNCTION_WORDS = {
+    "fr": "le la les des du une et est dans que qui pour par sur avec notre votre aux ce cette il elle nous vous",
+    "la": "et in est non ad cum per ut sed quod qui quae ex ab atque sunt de pro esse eius",
+    "en": "the of and to that was with for his which from this were have had not by on our your",
+    "de": "der die das und ist nicht mit von den dem ein eine auf für sich wir ihr auch nach wurde",
+    "pt": "o os as da do das dos em que para com não uma por nosso foi se ao pela",
+    "da": "og det som til er en af på med ikke har den vi blev fra efter han de et var",
+    "id": "yang dan di ke dari itu ini dengan untuk pada tidak telah kami akan oleh orang ada kepada",
+}
+
+
+def function_share(words: Column, lang: str) -> Column:
+    """Share of a line's words that are function words of ``lang``; 0 without words."""
+    own = F.array(*map(F.lit, FUNCTION_WORDS[lang].split()))
+    return F.coalesce(F.try_divide(F.size(F.filter(words, lambda w: F.array_contains(own, w))), F.size(words)), F.lit(0.0))
+
+
 def decide(text: Column, model: Column, confidence: Column, scores: dict[str, Column]) -> Column:
     """Three-letter language of a line from a model's label and confidence and the lexicons' scores; the first rule that holds decides.
 
@@ -73,6 +91,3 @@ def corrected(auto: DataFrame, fixes: DataFrame, how: str) -> DataFrame:
     """(inv_nr, page_no, langs, corrected): a correction replaces the page's row; ``how`` full keeps unmatched corrections too."""
     j = auto.join(fixes, (auto.inv_nr == fixes.m_inv) & (auto.page_no == fixes.m_page), how)
     return j.select(F.coalesce("inv_nr", "m_inv").alias("inv_nr"), F.coalesce("page_no", "m_page").alias("page_no"), F.coalesce("m_langs", "langs").alias("langs"), F.col("m_langs").isNotNull().cast("int").alias("corrected"))
-
-
-__all__ = ["ISO3", "SCORES", "as_list", "corrected", "coverage", "decide", "manual", "page_langs", "region_langs"]

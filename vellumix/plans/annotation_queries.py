@@ -10,6 +10,7 @@ from ..functions import text as X
 from ..operators import align, annotate, gates, index, layout, rdf, sequences
 from ..sources.tables import table
 from . import views as V
+from .problems import _P3 as P3_SQL
 from .registry import Registry
 from .text_queries import _with
 
@@ -228,7 +229,7 @@ def without_errors(spark: SparkSession, d: str) -> DataFrame:
     return g.filter("e * 20 <= n").select("inv_nr")
 
 
-@R.query("element_paths")
+@R.query("element_paths", f"select regexp_replace(node_path, '\\[\\d+\\]', '[]', 'g') as path, count(*) as n from ({P3_SQL}) group by 1")
 def element_paths(spark: SparkSession, d: str) -> DataFrame:
     """The distinct paths of objects in all annotations, with list positions left out."""
     from ..operators import nested

@@ -9,6 +9,7 @@ from ..functions import text as X
 from ..functions import urls
 from ..operators import index, sequences, spans
 from ..sources.tables import table
+from ..streaming import incremental
 from . import views as V
 from .registry import Registry
 from .text_queries import _with
@@ -102,21 +103,21 @@ def offset_to_region(spark: SparkSession, d: str) -> DataFrame:
     return g.select("annotation_id", F.when(F.col("n") == 1, F.col("r")).otherwise("unknown").alias("text_region_id"))
 
 
-_ASCII = "regexp_full_match(text, '[ -~]+')"
-
-
 def _gazetteer(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "place_names").groupBy("name_key").agg(F.min(F.struct("identifier", "pref_label", "matched_label")).alias("x")).select("name_key", F.col("name_key").alias("ord"), "x.*")
 
 
-@R.query("fuzzy_place", f"with m as (select distinct text as mention, lower(text) as k from ner_records where tag = 'Place' and {_ASCII}), n as (select distinct name_key from place_names where regexp_full_match(name_key, '[ -~]+')), c as (select mention, name_key, levenshtein(k, name_key) as dist from m, n where k = name_key or (levenshtein(k, name_key) < 5 and levenshtein(k, name_key) < least(length(k), length(name_key)))) select mention, arg_min(name_key, dist * 1000 + o) as name_key from (select *, row_number() over (partition by mention order by name_key) as o from c) group by mention")
+_B1 = "translate({}, 'æ⸗ƒ€ëéèïöüäáàçñ', '!#$%&()*+;<=>@^')"  # the SQL measures bytes, so each such letter becomes one of its own
+_FUZZY = f"m as (select distinct text as mention, lower(text) as k from ner_records where tag = 'Place' and text is not null), n as (select distinct name_key from place_names), c as (select mention, name_key, levenshtein({_B1.format('k')}, {_B1.format('name_key')}) as dist from m, n where k = name_key or (abs(length(k) - length(name_key)) < 5 and levenshtein({_B1.format('k')}, {_B1.format('name_key')}) < least(5, length(k), length(name_key)))), fuzzy as (select mention, arg_min(name_key, dist * 1000 + o) as name_key from (select *, row_number() over (partition by mention order by name_key) as o from c) group by mention)"
+
+
+@R.query("fuzzy_place", _with(_FUZZY) + "select mention, name_key from fuzzy")
 def fuzzy_place(spark: SparkSession, d: str) -> DataFrame:
-    ascii_only = r"^[ -~]+$"
-    m = table(spark, d, "ner_records").filter("tag = 'Place'").filter(F.col("text").rlike(ascii_only)).select(F.col("text").alias("mention"))
-    return index.nearest_name(m, _gazetteer(spark, d).filter(F.col("name_key").rlike(ascii_only)))
+    m = table(spark, d, "ner_records").filter("tag = 'Place'").select(F.col("text").alias("mention"))
+    return index.nearest_name(m, _gazetteer(spark, d))
 
 
-@R.query("place_enrichment")
+@R.query("place_enrichment", _with(_FUZZY, "g as (select name_key, unnest(min(struct_pack(identifier, pref_label, matched_label))) from place_names group by name_key)") + "select a.annotation_id, a.text, identifier, pref_label, matched_label from (select distinct annotation_id, text from ner_records where tag = 'Place') a left join (fuzzy join g using (name_key)) f on a.text = f.mention")
 def place_enrichment(spark: SparkSession, d: str) -> DataFrame:
     """Every place mention with the gazetteer's entry of its nearest name."""
     places = table(spark, d, "ner_records").filter("tag = 'Place'").select("annotation_id", "text").distinct()
@@ -153,13 +154,13 @@ def mention_document_offset(spark: SparkSession, d: str) -> DataFrame:
     return n.join(o, "page_id").select("annotation_id", (F.col("page_offset") + F.col("start_in_page")).alias("doc_offset")).distinct()
 
 
-@R.query("containment_chain", "select l.id as line_id from (select distinct id, text_region_id, page_id from px_lines) l where exists (select 1 from px_regions r where r.id = l.text_region_id) and exists (select 1 from ner_records n where n.page_id = l.page_id) and exists (select 1 from documents t where t.page_id = l.page_id)")
+@R.query("containment_chain", "select distinct l.id as line_id from (select distinct id, text_region_id, page_id from px_lines) l join px_regions r on r.id = l.text_region_id join ner_records n on n.page_id = r.page_id join quants q on q.annotation_id in (select annotation_id from web_annos) and q.page_id = n.page_id")
 def containment_chain(spark: SparkSession, d: str) -> DataFrame:
-    """Lines whose region is known and whose page has annotations and a document, by three semi-joins."""
-    x = table(spark, d, "px_lines").select("id", "text_region_id", "page_id").distinct()
-    x = x.join(table(spark, d, "px_regions").select(F.col("id").alias("text_region_id")), "text_region_id", "left_semi")
-    x = x.join(table(spark, d, "ner_records").select("page_id"), "page_id", "left_semi").join(table(spark, d, "documents").select("page_id"), "page_id", "left_semi")
-    return x.select(F.col("id").alias("line_id"))
+    """Lines in a region of a page that has entities, and amounts that are annotated: from each amount up the chain, by semi-joins."""
+    q = table(spark, d, "quants").join(table(spark, d, "web_annos").select("annotation_id"), "annotation_id", "left_semi").select("page_id")
+    n = table(spark, d, "ner_records").select("page_id").join(q, "page_id", "left_semi")
+    r = table(spark, d, "px_regions").select(F.col("id").alias("text_region_id"), "page_id").join(n, "page_id", "left_semi")
+    return table(spark, d, "px_lines").select("id", "text_region_id").distinct().join(r, "text_region_id", "left_semi").select(F.col("id").alias("line_id")).distinct()
 
 
 @R.query("argument_links", "select q.quant_id, q.annotation_id, count(distinct w.motivation) as n_links from (select distinct quant_id, annotation_id from quants where annotation_id is not null) q join web_annos w using (annotation_id) group by all")
@@ -187,10 +188,11 @@ def todo_ids(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "px_lines").filter("inv_nr is not null").select("inv_nr").distinct().join(table(spark, d, "doc_meta").select(F.upper(F.trim("inventory_number")).alias("inv_nr")), "inv_nr", "left_anti")
 
 
-@R.query("processed_filter", "select distinct page_id from documents where page_id not in (select page_id from ner_records where page_id is not null) and page_id in (select page_id from px_lines)")
+@R.query("processed_filter", "select distinct page_id from px_regions where page_id not in (select page_id from web_annos where page_id is not null) and page_id in (select page_id from ner_records)")
 def processed_filter(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "documents").filter("page_id is not null").select("page_id").distinct()
-    return t.join(table(spark, d, "ner_records").select("page_id"), "page_id", "left_anti").join(table(spark, d, "px_lines").select("page_id"), "page_id", "left_semi")
+    """Pages with entities that have no annotations yet."""
+    t = table(spark, d, "px_regions").filter("page_id is not null").select("page_id").distinct()
+    return incremental.to_do(t, table(spark, d, "web_annos").select("page_id"), table(spark, d, "ner_records").select("page_id"), "page_id")
 
 
 _VOCAB = [("Person", "actor"), ("Group", "actor"), ("Place", "place"), ("Ship", "thing")]

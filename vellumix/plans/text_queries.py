@@ -55,7 +55,14 @@ def page_char_ranges(spark: SparkSession, d: str) -> DataFrame:
     return _ranges(spark, d, F.char_length)
 
 
-@R.query("quote_context")
+_QUOTE = (
+    "q as (select annotation_id, start_in_page as b, end_in_page as e, page_text as t from spans join pages using (page_id)), "
+    "c as (select *, replace(regexp_replace(substr(t, greatest(b - 40, 0) + 1, least(b, 40)), '^\\s+', ''), chr(10), ' ') as p, replace(regexp_replace(substr(t, e + 1, 40), '\\s+$', ''), chr(10), ' ') as s from q), "
+    "a as (select *, strpos(reverse(left(p, 20)), ' ') as pa, strpos(reverse(left(s, 20)), ' ') as sa from c)"
+)
+
+
+@R.query("quote_context", _with(V.LINES, V.PAGES, V.SPANS, _QUOTE) + "select annotation_id, case when pa > 0 then substr(p, least(length(p), 20) - pa + 2) else p end as prefix, substr(t, b + 1, e - b) as exact, case when sa > 0 then left(s, least(length(s), 20) - sa) else s end as suffix from a")
 def quote_context(spark: SparkSession, d: str) -> DataFrame:
     """Quotes of annotated spans with what stands before and behind (held against plain Python in the tests)."""
     s = V.spans(spark, d).join(V.pages(spark, d).select("page_id", "page_text"), "page_id")
@@ -102,45 +109,64 @@ def lexicon_coverage(spark: SparkSession, d: str) -> DataFrame:
     return c.select(F.col("id").alias("line_id"), "n_words", "n_known", F.round(F.col("n_known") / F.col("n_words"), 6).alias("coverage"))
 
 
+_LABELS = {"nld": "nl", "nl": "nl", "dutch": "nl", "fra": "fr", "fr": "fr", "lat": "la", "la": "la", "eng": "en", "en": "en", "deu": "de", "de": "de", "por": "pt", "pt": "pt", "dan": "da", "da": "da", "msa": "id", "ms": "id"}
+_OTHERS = ("fr", "la", "en", "de", "pt", "id", "da")
+
+
+def _shares_sql() -> str:
+    own = lambda lang: "[" + ", ".join(f"'{w}'" for w in language.FUNCTION_WORDS[lang].split()) + "]"
+    return ", ".join(f"coalesce(len(list_filter(ws, lambda w: list_contains({own(x)}, w))) / nullif(len(ws), 0), 0) as s_{x}" for x in _OTHERS)
+
+
+_DOC_COVER = _COVER.replace("from lines)", "from doc_lines)").replace("select id, inv_nr, page_no, text_region_id, line_ord, text, unnest", "select id, unnest")
+_TOP = "case when x > 0 and (voc = x or nl = x) then 'nl' " + " ".join(f"when x > 0 and s_{x} = x then '{x}'" for x in _OTHERS) + " end"
+_HAS = "case model when 'nl' then x > 0 and (voc = x or nl = x) " + " ".join(f"when '{x}' then x > 0 and s_{x} = x" for x in _OTHERS) + " else false end"
+_ISO = "case d when 'nl' then 'nld' when 'fr' then 'fra' when 'la' then 'lat' when 'en' then 'eng' when 'de' then 'deu' when 'pt' then 'por' when 'id' then 'msa' when 'da' then 'dan' else d end"
 _LINE_LANG = (
-    "conf as (select id, max(coalesce(conf, 0)) as c from px_lines group by id), "
-    "scored as (select l.id, l.inv_nr, l.page_no, l.page_id, l.text_region_id, l.line_ord, l.text, f.c, coalesce(v.n_known / v.n_words, 0) as voc, coalesce(v.n_common / v.n_words, 0) as nl, length(regexp_replace(l.text, '\\P{L}', '', 'g')) as letters from lines l join conf f using (id) left join cover v using (id)), "
-    "decided as (select *, case when letters <= 6 then 'unknown' when greatest(voc, nl) > 0 and c >= 0.5 then 'nld' when greatest(voc, nl) >= 0.5 then 'nld' when greatest(voc, nl) <= 0.5 then 'nld' else 'unknown' end as lang from scored)"
+    "scored as (select l.*, case label " + " ".join(f"when '{k}' then '{v}'" for k, v in _LABELS.items()) + " else 'unknown' end as model, coalesce(v.n_known / v.n_words, 0) as voc, coalesce(v.n_common / v.n_words, 0) as nl, length(regexp_replace(l.text, '\\P{L}', '', 'g')) as letters, regexp_extract_all(lower(l.text), '\\p{L}+') as ws from doc_lines l left join cover v using (id)), "
+    f"shared as (select *, case when model = 'unknown' then 0 else 0.6 end as c, {_shares_sql()} from scored), "
+    "best as (select *, greatest(voc, nl, " + ", ".join(f"s_{x}" for x in _OTHERS) + ", 0) as x from shared), "
+    f"ruled as (select *, {_TOP} as top, coalesce({_HAS}, false) as agrees, x > 0 and (voc = x or nl = x) as dutch from best), "
+    "chosen as (select *, case when letters <= 6 then 'unknown' when agrees and c >= 0.5 then model when dutch and x >= 0.5 then 'nl' when model = 'nl' and x <= 0.5 then 'nl' when not dutch and instr(text, ' ') = 0 then 'unknown' when c >= 0.9 and c > x then model when x >= 0.5 and x >= c then top else 'unknown' end as d from ruled), "
+    f"decided as (select *, {_ISO} as lang from chosen)"
 )
 
 
-@R.query("line_language", _with(V.LINES, _COVER, _LINE_LANG) + "select id as line_id, inv_nr, page_no, text_region_id, lang from decided")
+@R.query("line_language", _with(V.DOC_LINES, _DOC_COVER, _LINE_LANG) + "select id as line_id, inv_nr, page_no, text_region_id, lang from decided")
 def line_language(spark: SparkSession, d: str) -> DataFrame:
     return _decided(spark, d).select(F.col("id").alias("line_id"), "inv_nr", "page_no", "text_region_id", "lang")
 
 
 def _decided(spark: SparkSession, d: str) -> DataFrame:
-    """Lines with the language that a recogniser of Dutch (confidence: conf) and two lexicon scores decide for."""
-    lines = V.lines(spark, d)
-    conf = table(spark, d, "px_lines").groupBy("id").agg(F.max(F.coalesce("conf", F.lit(0.0))).alias("c"))
+    """Lines of documents with the language that the document's label, a lexicon of Dutch and other languages' function words decide for."""
+    lines = V.doc_lines(spark, d)
     cover = language.coverage(lines, table(spark, d, "lexicon"))
-    s = lines.join(conf, "id").join(cover, "id", "left")
+    s = lines.join(cover, "id", "left").withColumn("ws", F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0))
     share = lambda n: F.coalesce(F.col(n) / F.col("n_words"), F.lit(0.0))
-    return s.withColumn("lang", language.decide(F.col("text"), F.lit("nl"), F.col("c"), {"nl_voc": share("n_known"), "nl": share("n_common")}))
+    known = F.create_map(*[F.lit(x) for kv in _LABELS.items() for x in kv])
+    s = s.withColumn("model", F.coalesce(F.try_element_at(known, F.col("label")), F.lit("unknown")))
+    s = s.withColumns({"s_nl_voc": share("n_known"), "s_nl": share("n_common")} | {f"s_{x}": language.function_share(F.col("ws"), x) for x in _OTHERS})
+    conf = F.when(F.col("model") == "unknown", 0.0).otherwise(0.6)
+    return s.withColumn("lang", language.decide(F.col("text"), F.col("model"), conf, {x: F.col(f"s_{x}") for x in ("nl_voc", "nl", *_OTHERS)}))
 
 
 _REGION_LANG = "region_counts as (select inv_nr, page_no, page_id, text_region_id, lang, count(*) as n from decided group by all), region_shares as (select *, n / sum(n) over (partition by text_region_id, page_id) as share from region_counts), kept as (select * from region_shares where lang <> 'unknown' and share >= 0.25 and (lang = 'nld' or n >= 3))"
 _PAGE_LANG = "page_langs_auto as (select p.page_id, p.inv_nr, p.page_no, coalesce(string_agg(distinct k.lang, ',' order by k.lang), 'unknown') as langs from (select distinct page_id, inv_nr, page_no from decided) p left join kept k using (page_id) group by all)"
 
 
-@R.query("region_languages", _with(V.LINES, _COVER, _LINE_LANG, _REGION_LANG) + "select r.text_region_id, coalesce(string_agg(distinct k.lang, ',' order by k.lang), 'unknown') as langs from (select distinct text_region_id from decided) r left join kept k using (text_region_id) group by all")
+@R.query("region_languages", _with(V.DOC_LINES, _DOC_COVER, _LINE_LANG, _REGION_LANG) + "select r.text_region_id, coalesce(string_agg(distinct k.lang, ',' order by k.lang), 'unknown') as langs from (select distinct text_region_id from decided) r left join kept k using (text_region_id) group by all")
 def region_languages(spark: SparkSession, d: str) -> DataFrame:
     return language.region_langs(_decided(spark, d), ["page_id", "text_region_id"]).select("text_region_id", language.as_list("langs"))
 
 
-@R.query("page_languages", _with(V.LINES, _COVER, _LINE_LANG, _REGION_LANG, _PAGE_LANG) + "select page_id, inv_nr, page_no, langs from page_langs_auto")
+@R.query("page_languages", _with(V.DOC_LINES, _DOC_COVER, _LINE_LANG, _REGION_LANG, _PAGE_LANG) + "select page_id, inv_nr, page_no, langs from page_langs_auto")
 def page_languages(spark: SparkSession, d: str) -> DataFrame:
     regions = language.region_langs(_decided(spark, d), ["page_id", "inv_nr", "page_no", "text_region_id"])
     return language.page_langs(regions, ["page_id", "inv_nr", "page_no"]).select("page_id", "inv_nr", "page_no", language.as_list("langs"))
 
 
 _MANUAL = "manual as (select trim(inv_nr) as m_inv, try_cast(trim(page_no) as int) as m_page, max(lower(trim(langs))) as m_langs from page_langs where corrected = 1 and langs is not null group by all)"
-_CORR = _with(V.LINES, _COVER, _LINE_LANG, _REGION_LANG, _PAGE_LANG, _MANUAL)
+_CORR = _with(V.DOC_LINES, _DOC_COVER, _LINE_LANG, _REGION_LANG, _PAGE_LANG, _MANUAL)
 
 
 @R.query("corrections_left", _CORR + "select inv_nr, page_no, coalesce(m_langs, langs) as langs, cast(m_langs is not null as int) as corrected from page_langs_auto left join manual on inv_nr = m_inv and page_no = m_page")
@@ -158,7 +184,7 @@ def page_languages_nondutch(spark: SparkSession, d: str) -> DataFrame:
     return corrections_left(spark, d).filter(~F.col("langs").isin("unknown", "nld")).select("inv_nr", "page_no", "langs")
 
 
-@R.query("lines_per_language", _with(V.LINES, _COVER, _LINE_LANG) + "select lang, count(*) as n_lines from decided group by lang")
+@R.query("lines_per_language", _with(V.DOC_LINES, _DOC_COVER, _LINE_LANG) + "select lang, count(*) as n_lines from decided group by lang")
 def lines_per_language(spark: SparkSession, d: str) -> DataFrame:
     return _decided(spark, d).groupBy("lang").agg(F.count(F.lit(1)).alias("n_lines"))
 

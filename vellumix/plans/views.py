@@ -47,4 +47,21 @@ def words(spark: SparkSession, d: str) -> DataFrame:
     return w.withColumn("w_begin", at).withColumn("w_end", F.col("w_begin") + F.length("word")).filter("word <> ''")
 
 
+DOC_LINES = (
+    "docs as (select page_id, text, lower(trim(lang)) as label from (select *, row_number() over (partition by page_id order by received_at desc nulls last, doc_id desc) as r from documents where page_id is not null) where r = 1), "
+    "cut as (select page_id, label, unnest(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) as text, generate_subscripts(regexp_split_to_array(text, '\\r\\n|\\r|\\n'), 1) as line_ord from docs), "
+    "doc_lines as (select page_id || ':' || line_ord as id, page_id, label, list_extract(string_split(page_id, '_'), -2) as inv_nr, try_cast(list_extract(string_split(page_id, '_'), -1) as int) as page_no, page_id || '.' || p as text_region_id, line_ord, text from (select *, sum(case when regexp_matches(text, '\\S') then 0 else 1 end) over (partition by page_id order by line_ord) as p from cut) where regexp_matches(text, '\\S'))"
+)
+
+
+def doc_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of each page's latest document, with its label; its parts between blank lines are the regions."""
+    t = table(spark, d, "documents").filter("page_id is not null").groupBy("page_id").agg(F.max_by(F.struct("text", F.lower(F.trim("lang")).alias("label")), F.struct("received_at", "doc_id")).alias("x"))
+    x = t.select("page_id", F.col("x.label").alias("label"), F.posexplode(F.split("x.text", r"\r\n|\r|\n")).alias("k", "text")).withColumn("line_ord", F.col("k") + 1)
+    blank = F.sum(F.when(F.col("text").rlike(r"\S"), 0).otherwise(1)).over(Window.partitionBy("page_id").orderBy("line_ord"))
+    x = x.withColumn("p", blank).filter(F.col("text").rlike(r"\S"))
+    join = lambda sep, c: F.concat_ws(sep, "page_id", F.col(c).cast("string"))
+    return x.select(join(":", "line_ord").alias("id"), "page_id", "label", X.page_inventory(F.col("page_id")).alias("inv_nr"), X.page_number(F.col("page_id")).alias("page_no"), join(".", "p").alias("text_region_id"), "line_ord", "text")
+
+
 WORDS = "tokens as (select page_id, unnest(regexp_split_to_array(page_text, '[ \\n]')) as word, generate_subscripts(regexp_split_to_array(page_text, '[ \\n]'), 1) - 1 as word_ord from pages), words as (select page_id, word_ord, word, w_begin, w_begin + length(word) as w_end from (select *, coalesce(sum(length(word) + 1) over (partition by page_id order by word_ord rows between unbounded preceding and 1 preceding), 0) as w_begin from tokens) where word <> '')"
