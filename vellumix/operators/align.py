@@ -46,7 +46,7 @@ def within_edits(words: DataFrame, lexicon: DataFrame, most: int = 2, least_leng
     wp = w.select("word", F.explode(F.array(*[(F.length("word") + d).alias("size") for d in range(-most, most + 1)])).alias("size"))
     wp = wp.select("word", "size", pieces(F.col("size")).alias("x"), F.array(*map(F.lit, range(-most, most + 1))).alias("shifts"))
     wp = wp.select("word", "size", "x.i", "x.at", "x.len", F.explode("shifts").alias("s")).filter(F.col("at") + F.col("s") >= 0)
-    wp = wp.select("word", "size", "i", F.substring("word", F.col("at") + F.col("s") + 1, F.col("len")).alias("p")).distinct()
+    wp = wp.select("word", "size", "i", F.substring("word", F.col("at") + F.col("s") + 1, F.col("len")).alias("p"))
     pairs = wp.join(kp, ["size", "i", "p"]).select("word", "known").distinct()
     return pairs.withColumn("dist", F.levenshtein("word", "known", most)).filter("dist >= 0")
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .align import within_edits
+
 #: A best distance must stay below this and below both lengths.
 NEAR = 5
 
@@ -14,7 +16,7 @@ def nearest_name(mentions: DataFrame, names: DataFrame, most_names: int = 100_00
 
     The distance must also be below both lengths; of equally near names the first by ``ord`` counts. ``names``
     (name_key, ord) is a gazetteer of at most ``most_names`` rows, else ValueError: it is broadcast. Only distinct
-    mentions meet it, and only names whose length differs by less than five. Null mentions have no name.
+    mentions meet it, in an equi-join on shared pieces of the names. Null mentions have no name.
     """
     if names.limit(most_names + 1).count() > most_names:
         raise ValueError("the gazetteer is larger than its bound")
@@ -22,9 +24,9 @@ def nearest_name(mentions: DataFrame, names: DataFrame, most_names: int = 100_00
     n = F.broadcast(names.select("name_key", "ord"))
     by_hand = m.join(n, m.key == n.name_key).select("mention", "name_key", F.lit(0).alias("dist"), "ord")
     rest = m.join(n.select("name_key"), m.key == F.col("name_key"), "left_anti")
-    close = F.abs(F.length("key") - F.length("name_key")) < NEAR
-    dist = F.levenshtein("key", "name_key", NEAR - 1)
-    near = rest.join(n, close).withColumn("dist", dist).filter((F.col("dist") >= 0) & (F.col("dist") < F.least(F.length("key"), F.length("name_key")))).select("mention", "name_key", "dist", "ord")
+    pairs = within_edits(rest.select(F.col("key").alias("word")), names.select(F.col("name_key").alias("word")), NEAR - 1, 1)
+    pairs = pairs.filter(F.col("dist") < F.least(F.length("word"), F.length("known")))
+    near = rest.join(pairs, rest.key == pairs.word).join(n, F.col("known") == n.name_key).select("mention", "name_key", "dist", "ord")
     return by_hand.unionByName(near).groupBy("mention").agg(F.min_by("name_key", F.struct("dist", "ord")).alias("name_key"))
 
 
@@ -38,8 +40,8 @@ def tags(records: DataFrame) -> DataFrame:
 def first_of_name(docs: DataFrame, name: str, order: str, pages: str) -> DataFrame:
     """Documents of more than one page once per name, the first in ``order``; those of one page all.
 
-    Only documents of more than one page go through the window, and null names are names of their own.
+    Null names are names of their own. The first of a name is found by an aggregation, so a frequent name meets nowhere.
     """
-    first = F.row_number().over(Window.partitionBy(name).orderBy(order))
-    many = docs.filter(F.col(pages) > 1).withColumn("_r", first).filter((F.col("_r") == 1) | F.col(name).isNull()).drop("_r")
-    return docs.filter((F.col(pages) <= 1) | F.col(pages).isNull()).unionByName(many)
+    many = docs.filter((F.col(pages) > 1) & F.col(name).isNotNull())
+    first = many.groupBy(F.col(name).alias("_k")).agg(F.min_by(F.struct(*docs.columns), F.col(order)).alias("x")).select("x.*")
+    return docs.filter((F.col(pages) <= 1) | F.col(pages).isNull() | F.col(name).isNull()).unionByName(first)

@@ -18,12 +18,15 @@ def unit(v: Column) -> Column:
     return F.when((F.size(v) > 0) & (norm > 0), F.transform(v, lambda x: x / norm))
 
 
-def centroids(df: DataFrame, id_col: str, vec: str, cells: int, most_rows: int = 20_000, rounds: int = 12, seed: int = 3) -> np.ndarray:
-    """Spherical k-means centres of about ``most_rows`` rows chosen by a hash of their ids."""
-    total = max(df.count(), 1)
-    share = int(1e6 * min(1.0, most_rows / total))
+def sampled(df: DataFrame, id_col: str, vec: str, total: int, most_rows: int) -> np.ndarray:
+    """About ``most_rows`` vectors chosen by a hash of their ids."""
+    share = int(1e6 * min(1.0, most_rows / max(total, 1)))
     rows = [r[0] for r in df.filter(F.col(vec).isNotNull() & (F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < share)).select(vec).limit(2 * most_rows).collect()]
-    x = np.array(rows, np.float32)
+    return np.array(rows, np.float32)
+
+
+def centroids(x: np.ndarray, cells: int, rounds: int = 12, seed: int = 3) -> np.ndarray:
+    """Spherical k-means centres of a sample."""
     if not len(x):
         return np.zeros((1, 1), np.float32)
     c = x[np.random.default_rng(seed).choice(len(x), min(cells, len(x)), replace=False)]
@@ -37,15 +40,32 @@ def centroids(df: DataFrame, id_col: str, vec: str, cells: int, most_rows: int =
     return c
 
 
-def nearest(df: DataFrame, id_col: str, vec: str, k: int = 10, cells: int = 16, probes: int = 12, queries: str | None = None) -> DataFrame:
+def probes_for(x: np.ndarray, c: np.ndarray, k: int, recall: float, queries: int = 256) -> int:
+    """The fewest cells in which a sample's queries find ``recall`` of their true ``k`` nearest of the sample."""
+    if len(x) < 2:
+        return len(c)
+    q = x[:: max(1, len(x) // queries)][:queries]
+    top = np.argsort(-(q @ x.T), 1, kind="stable")[:, 1 : k + 1]
+    home = (x @ c.T).argmax(1)
+    rank = np.empty((len(q), len(c)), np.int64)
+    np.put_along_axis(rank, np.argsort(-(q @ c.T), 1, kind="stable"), np.arange(len(c))[None].repeat(len(q), 0), 1)
+    needed = np.sort(np.take_along_axis(rank, home[top], 1).ravel()) + 1
+    return int(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))))])
+
+
+def nearest(df: DataFrame, id_col: str, vec: str, k: int = 10, recall: float = 0.97, most_rows: int = 20_000, queries: str | None = None) -> DataFrame:
     """(query_id, id, score, rank): the ``k`` rows most like each query by cosine, equal scores by the smaller id, itself not.
 
     Queries are the rows of the SQL condition ``queries``, by default those whose id is divisible by 20. Every row is in
-    the index, in the cell of its nearest centre; a query looks into its ``probes`` nearest cells. Cells are salted, and
-    each part gives its own best ``k`` before they are merged. Rows without a vector are neither queries nor found.
+    the index, in the cell of its nearest centre. There are about as many cells as the square root of the rows; centres, and the
+    number of nearest cells a query looks into so that ``recall`` of its true neighbours are found, are taken from a sample of
+    about ``most_rows``. Cells are salted, and each part gives its own best ``k`` before they are merged. Rows without a vector are neither queries nor found.
     """
     rows = df.select(F.col(id_col).alias("id"), unit(F.col(vec)).alias("v")).filter("v is not null")
-    c = centroids(rows, "id", "v", cells)
+    total = rows.count()
+    sample = sampled(rows, "id", "v", total, most_rows)
+    c = centroids(sample, int(np.clip(np.sqrt(total), 1, max(len(sample) // 8, 1))))
+    probes = probes_for(sample, c, k, recall)
     shared = df.sparkSession.sparkContext.broadcast(c)
 
     @F.pandas_udf("array<int>")

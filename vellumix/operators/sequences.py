@@ -48,10 +48,22 @@ def runs(df: DataFrame, group: list[str], order: list[str], values: list[str], o
     return x.join(bases, on).withColumn(out, (F.col("_base") + F.col("_in")).cast("bigint")).drop("_blk", "_c", "_in", "_bk", "_base", *[f"_g{i}" for i in range(len(group))])
 
 
-def neighbours(df: DataFrame, group: str, order: str, value: str) -> DataFrame:
-    """Adds prev_ and next_ of ``value``: the nearest lower and higher ordinal of its group."""
-    w = Window.partitionBy(group).orderBy(order)
-    return df.withColumn(f"prev_{value}", F.lag(value).over(w)).withColumn(f"next_{value}", F.lead(value).over(w))
+def neighbours(df: DataFrame, group: str, order: str, value: str, block: int = 1024) -> DataFrame:
+    """Adds prev_ and next_ of ``value``: the nearest lower and higher integer ``order`` of its group.
+
+    They are looked up inside blocks of ``block`` ordinals; at a block's edges they are the last and the first of the
+    blocks next to it that have rows, so a hot group meets only as its blocks. Null groups are one group.
+    """
+    x = df.withColumn("_blk", F.floor(F.col(order) / block))
+    w = Window.partitionBy(group, "_blk").orderBy(order, value)
+    place = F.struct(order, value)
+    parts = x.groupBy(group, "_blk").agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
+    over = Window.partitionBy(group).orderBy("_blk")
+    edges = parts.select(F.col(group).alias("_g"), F.col("_blk").alias("_k"), F.lag("_last").over(over).alias("_before"), F.lead("_first").over(over).alias("_after"))
+    inner = x.withColumns({"_p": F.lag(F.struct(value)).over(w), "_n": F.lead(F.struct(value)).over(w)})
+    j = inner.join(edges, F.col(group).eqNullSafe(F.col("_g")) & F.col("_blk").eqNullSafe(F.col("_k")))
+    pick = lambda own, other: F.when(F.col(own).isNotNull(), F.col(own)[value]).otherwise(F.col(other)[value])
+    return j.withColumns({f"prev_{value}": pick("_p", "_before"), f"next_{value}": pick("_n", "_after")}).drop("_blk", "_g", "_k", "_before", "_after", "_p", "_n")
 
 
 def natural_keys(c: Column) -> tuple[Column, Column]:
