@@ -49,7 +49,7 @@ BODIES = {"societeit": "so[ks]", "handelshuis": "handelsh|firma", "boedelhuis":
 FILLERS = {"en", "ende", "zonen", "soonen", "sonen", "zoonen", "zn", "soons", "justitie", "justitien", "just", "generale", "co", "&"}
 
 _CANON = {form: line.split()[0] for line in GIVEN.split("\n") for form in line.split()}
-THRESHOLD = 0.2
+THRESHOLD = 0.12
 LINK = 0.5
 
 
@@ -202,7 +202,7 @@ def core_likeness(a: str, b: str) -> float:
 
 
 def weight(cos: float) -> float:
-    """What a cosine of surnames is worth in a likeness of names: full from 0.6 on, 0.7 at the threshold of 0.2."""
+    """What a cosine of surnames is worth in a likeness of names: full from 0.6 on, 0.64 at the threshold of 0.12."""
     return min(1.0, 0.55 + 0.75 * cos)
 
 
