@@ -275,6 +275,22 @@ def test_corrections_look_at_every_word(spark):
         noise.corrections(words, lex, most_lexicon=2)
 
 
+def test_heads_rejected_early_are_unlike():
+    rng = random.Random(3)
+    for _ in range(3000):
+        a = "".join(rng.choice("abcde") for _ in range(rng.randrange(4, 26)))
+        b = list(a)
+        for _ in range(rng.randrange(6)):
+            i = rng.randrange(len(b))
+            b[i : i + 1] = rng.choice([[], ["x"], [b[i], "e"], b[i : i + 2][::-1]])
+            b = b or ["a"]
+        b = "".join(b)
+        short, long = sorted((a, b), key=len)
+        most = max(1, len(short) // 5)
+        same = names.edits(a, b, most) <= most or (len(short) >= 9 and names.edits(short, long[: len(short)], most) <= most)
+        assert noise.alike(a, b) == (min(len(a), len(b)) >= 5 and same)
+
+
 def test_furniture_in_a_large_region():
     def page(*texts):
         return [{"region": "r", "kind": "paragraph", "text": t, "id": str(i), "line_ord": i} for i, t in enumerate(texts)]

@@ -54,12 +54,27 @@ def letters(text: str) -> str:
     return re.sub(r"[^a-z]", "", text.lower())
 
 
+@lru_cache(maxsize=1 << 16)
+def pairs_of(head: str) -> int:
+    """The pairs of neighbouring letters of a head (a to z), as a set of bits."""
+    at = [ord(c) - 97 for c in head]
+    out = 0
+    for x, y in zip(at, at[1:]):
+        out |= 1 << (26 * x + y)
+    return out
+
+
 def alike(a: str, b: str) -> bool:
-    """Whether two heads are the same but for misread or missing letters."""
+    """Whether two heads are the same but for misread or missing letters.
+
+    An edit takes away three pairs of letters at most, so heads that lack more than three times the edits aren't compared.
+    """
     if len(a) < 5 or len(b) < 5:
         return False
-    short, long = sorted((a, b), key=len)
+    short, long = (a, b) if len(a) <= len(b) else (b, a)
     most = max(1, len(short) // 5)
+    if (pairs_of(short) & ~pairs_of(long)).bit_count() > 3 * most:
+        return False
     return edits(a, b, most) <= most or (len(short) >= 9 and edits(short, long[: len(short)], most) <= most)
 
 
