@@ -1,5 +1,6 @@
 """Column expressions, sequences, spans, sources, sinks and streams on small cases."""
 
+import random
 import re
 import uuid
 
@@ -331,3 +332,76 @@ def test_plans_push_down_and_stay_in_the_jvm(spark, data):
     read = re.search(r"ReadSchema: struct<([^>]*)", plan)[1]
     assert "text" in read and "conf" not in read and "Python" not in plan
     assert "PushedFilters: [IsNotNull(tag)" in q["place_enrichment"](spark, data)._jdf.queryExecution().toString()
+
+
+def nearest_part(p, t):
+    """(errors, end) of the part of t nearest to p, by the whole table."""
+    row = [0] * (len(t) + 1)
+    for i, x in enumerate(p, 1):
+        new = [i]
+        for j, y in enumerate(t, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    e = min(row)
+    return e, row.index(e)
+
+
+def test_aligned_parts_match_brute_force():
+    rng = random.Random(4)
+    for _ in range(400):
+        t = "".join(rng.choice("ab c") for _ in range(rng.randrange(1, 40)))
+        p = "".join(rng.choice("ab c") for _ in range(rng.randrange(1, 12)))
+        e, end = nearest_part(p, t)
+        got = align.find(p, t, len(p))
+        if e == len(p):
+            continue
+        assert got[2] == e and got[1] == end, (p, t)
+        assert nearest_part(p, t[got[0] : got[1]])[0] == e
+        assert align.find(p, t, e - 1) is None or e == 0
+    assert align.find("", "abc", 3) is None and align.find("abc", "", 3) is None
+
+
+def test_alignment_of_passages(spark):
+    pages = spark.createDataFrame([("7", i, f"p{i}", t) for i, t in enumerate(["een schip kwam", "met rijst ende", "zilver naar de haven", "elders"])], "inv string, page_no int, page_id string, page_text string")
+    ed = spark.createDataFrame([(1, "7", 1, 1, "rijst ende\nzilvcr naar"), (2, "7", 1, 1, "elders"), (3, "7", 3, 3, "x"), (4, "8", 1, 1, "schip"), (5, "7", 2, 2, None), (6, "7", 1, 1, "kwam"), (7, "7", 3, 2, "haven")], "id int, inv string, first int, last int, passage string")
+    b = align.bounded_pairs(ed, pages)
+    got = {r.id: (r.page, r.found, r.errors) for r in align.aligned(b, "passage", "text").select("id", align.first_page(F.col("starts"), F.col("begin")).alias("page"), F.substring("text", F.col("begin") + 1, F.col("end") - F.col("begin")).alias("found"), "errors").collect()}
+    assert got == {1: ("p1", "rijst ende\nzilver naar", 1), 6: ("p0", "kwam", 0)}
+    assert align.bounded_pairs(ed.limit(0), pages).count() == 0
+
+
+def test_neighbours_in_blocks(spark):
+    from vellumix.operators import sequences
+
+    rows = [("a", i, f"v{i}") for i in (0, 3, 4, 5, 9, 20, 21)] + [(None, 1, "n1"), (None, 8, None), ("b", 2, "only")]
+    got = {(r.g, r.o): (r.prev_v, r.next_v) for r in sequences.neighbours(spark.createDataFrame(rows, "g string, o int, v string"), "g", "o", "v", 4).collect()}
+    order = [0, 3, 4, 5, 9, 20, 21]
+    want = {("a", o): (f"v{order[i - 1]}" if i else None, f"v{order[i + 1]}" if i + 1 < len(order) else None) for i, o in enumerate(order)}
+    assert got == want | {(None, 1): (None, None), (None, 8): ("n1", None), ("b", 2): (None, None)}
+
+
+def test_gates_and_collapse(spark):
+    from vellumix.operators import annotate, gates
+
+    df = spark.createDataFrame([("3.1.1 + TRUE", "", ""), ("3.2", None, ""), ("3.2 + 9", "1-2", "x"), (None, "1", None), ("TRUE", "", "x")], "c string, r string, i string")
+    got = df.select(gates.passes(F.col("c"), F.col("i")).alias("p"), gates.fixable(F.col("c"), F.col("r")).alias("f")).collect()
+    assert [(r.p, r.f) for r in got] == [(True, True), (True, False), (False, True), (False, None), (False, False)]
+    j = spark.createDataFrame([(["a"],), (["a", "b"],), ([],), (None,)], "l array<string>").select(annotate.collapsed(F.col("l")).alias("j")).collect()
+    assert [r.j for r in j] == ['"a"', '["a","b"]', None, None]
+
+
+def test_invalid_language_code_raises(spark):
+    df = spark.createDataFrame([("nl",), ("unknown",), (None,)], "c string")
+    assert [r.x for r in df.select(X.iso3_strict(F.col("c")).alias("x")).collect()] == ["nld", "unknown", None]
+    with pytest.raises(Exception, match="invalid language"):
+        spark.createDataFrame([("xx",)], "c string").select(X.iso3_strict(F.col("c")).alias("x")).collect()
+
+
+def test_events_without_a_known_category(spark):
+    from vellumix.operators import annotate
+
+    e = spark.createDataFrame([("1", "A", "t"), ("2", "None", "t"), ("3", None, "t"), ("4", "Z", "t")], "event_id string, category string, text string")
+    a = spark.createDataFrame([("x", "1", "role", 5, 6, "own", 1, 2, "tgt"), ("y", "2", "role", None, None, None, 1, 2, "tgt")], "argument_id string, event_id string, role string, begin int, end int, text string, target_begin int, target_end int, target_text string")
+    got = annotate.event_annotations(e, a, spark.createDataFrame([("A", "C")], "category string, class string")).collect()
+    assert sorted((r.kind, r.body, r.label, r.first_target) for r in got if r.kind != "link") == [("argument", "EventArgument", "own", "5"), ("argument", "EventArgument", "tgt", "1"), ("predicate", "C", "t", None)]
+    assert [r.item_id.rsplit(":", 1)[1] for r in got if r.kind == "link"] == ["1-x"]
