@@ -405,3 +405,19 @@ def test_events_without_a_known_category(spark):
     got = annotate.event_annotations(e, a, spark.createDataFrame([("A", "C")], "category string, class string")).collect()
     assert sorted((r.kind, r.body, r.label, r.first_target) for r in got if r.kind != "link") == [("argument", "EventArgument", "own", "5"), ("argument", "EventArgument", "tgt", "1"), ("predicate", "C", "t", None)]
     assert [r.item_id.rsplit(":", 1)[1] for r in got if r.kind == "link"] == ["1-x"]
+
+
+def test_entity_targets_in_one_pass(spark):
+    """Each input is read once; null annotations have no recognised text, spans without words only their own."""
+    from vellumix.operators import annotate
+
+    s = spark.createDataFrame([("a", "p", 0, 5, "ab cd"), ("a", "p", 0, 5, "ab cd"), ("b", "p", 9, 12, "x"), (None, "p", 0, 2, "ab")], "annotation_id string, page_id string, start_in_page int, end_in_page int, exact string")
+    o = spark.createDataFrame([("a", "p", "l.1", 0, 2, "1,2,3,4"), ("a", "p", "l.2", 3, 5, None), (None, "p", "l.1", 0, 2, "1,2,3,4")], "annotation_id string, page_id string, word_id string, w_begin int, w_end int, xywh string")
+    t = annotate.entity_targets(s, o, "u")
+    assert t._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2
+    got = sorted(((r.annotation_id or "-", r.kind, r.source, r.begin, r.end, r.exact, r.n) for r in t.collect()), key=repr)
+    page, image = "u/annotations:transcriptions:p", "u/image:p"
+    want = [("a", "text", "u/text:p", 0, 5, "ab cd", 1)] * 2 + [("a", "htr", "u/htr:p", 0, 5, "ab cd", 1)] * 2 + [("b", "text", "u/text:p", 9, 12, "x", 1), ("-", "text", "u/text:p", 0, 2, "ab", 1), ("a", "word", f"{page}#l.2", None, None, None, 1)]
+    for a in ("a", "-"):
+        want += [(a, "word", f"{page}#l.1", None, None, None, 1), (a, "cutting", f"{image}/1,2,3,4/max/0/default.jpg", None, None, None, 1), (a, "image", f"{image}/full/max/0/default.jpg", None, None, None, 1), (a, "canvas", "u/canvas:p", None, None, None, 1)]
+    assert got == sorted([(*w[:6], 1) for w in want], key=repr)

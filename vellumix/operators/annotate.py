@@ -109,23 +109,26 @@ def entity_targets(spans: DataFrame, overlaps: DataFrame, base: str = urls.BASE)
     word_id, w_begin, w_end and xywh. A span targets its text by quote and position; each word's annotation; where there are
     words, once the recognised text from the first word's begin to the last one's end, with the same quote; each word's
     cut of the image; the image and the canvas with the boxes of all words (``n`` of them).
+    All targets come from one pass: a span and its words meet once, by annotation and page, and are told apart there.
     """
     page = urls.annotation_page("transcriptions", F.col("page_id"), base)
     image, canvas = urls.thing("image", F.col("page_id"), base), urls.thing("canvas", F.col("page_id"), base)
+    place, word = F.struct("start_in_page", "end_in_page", "exact"), F.struct("word_id", "w_begin", "w_end", "xywh")
+    s, w = spans.select("annotation_id", "page_id", place.alias("s")), overlaps.select("annotation_id", "page_id", word.alias("w"))
+    g = s.unionByName(w, allowMissingColumns=True).groupBy("annotation_id", "page_id").agg(F.collect_list("s").alias("s"), F.collect_list("w").alias("w"), F.min("w.w_begin").alias("b"), F.max("w.w_end").alias("e"), F.count("w.xywh").alias("n"))
 
-    def rows(df: DataFrame, kind: str, source: Column, begin: Column, end: Column, exact: Column, n: Column) -> DataFrame:
-        return df.select("annotation_id", F.lit(kind).alias("kind"), source.alias("source"), begin.cast("int").alias("begin"), end.cast("int").alias("end"), exact.alias("exact"), n.cast("int").alias("n"))
+    def target(kind: str, source: Column, begin: Column, end: Column, exact: Column, n: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), source.alias("source"), begin.cast("int").alias("begin"), end.cast("int").alias("end"), exact.cast("string").alias("exact"), n.cast("int").alias("n"))
 
     no, one = _none(), F.lit(1)
-    text = rows(spans, "text", urls.thing("text", F.col("page_id"), base), F.col("start_in_page"), F.col("end_in_page"), F.col("exact"), one)
-    word = rows(overlaps, "word", F.concat(page, F.lit("#"), "word_id"), no, no, no, one)
-    cutting = rows(overlaps.filter("xywh is not null"), "cutting", F.concat(image, F.lit("/"), "xywh", F.lit("/max/0/default.jpg")), no, no, no, one)
-    g = overlaps.groupBy("annotation_id", "page_id").agg(F.min("w_begin").alias("b"), F.max("w_end").alias("e"), F.count("xywh").alias("n"))
-    quoted = g.join(spans.select("annotation_id", "page_id", "exact"), ["annotation_id", "page_id"])
-    htr = rows(quoted, "htr", urls.thing("htr", F.col("page_id"), base), F.col("b"), F.col("e"), F.col("exact"), one)
-    boxed = g.filter("n > 0")
-    whole = rows(boxed, "image", F.concat(image, F.lit("/full/max/0/default.jpg")), no, no, no, F.col("n"))
-    return text.unionByName(word).unionByName(htr).unionByName(cutting).unionByName(whole).unionByName(rows(boxed, "canvas", canvas, no, no, no, F.col("n")))
+    texts = F.transform("s", lambda x: target("text", urls.thing("text", F.col("page_id"), base), x["start_in_page"], x["end_in_page"], x["exact"], one))
+    words = F.transform("w", lambda x: target("word", F.concat(page, F.lit("#"), x["word_id"]), no, no, no, one))
+    quoted = F.filter("s", lambda x: F.col("annotation_id").isNotNull() & F.col("page_id").isNotNull() & (F.size("w") > 0))
+    htr = F.transform(quoted, lambda x: target("htr", urls.thing("htr", F.col("page_id"), base), F.col("b"), F.col("e"), x["exact"], one))
+    cuttings = F.transform(F.filter("w", lambda x: x["xywh"].isNotNull()), lambda x: target("cutting", F.concat(image, F.lit("/"), x["xywh"], F.lit("/max/0/default.jpg")), no, no, no, one))
+    whole = F.array(target("image", F.concat(image, F.lit("/full/max/0/default.jpg")), no, no, no, F.col("n")), target("canvas", canvas, no, no, no, F.col("n")))
+    boxed = F.filter(whole, lambda x: F.col("n") > 0)
+    return g.select("annotation_id", F.explode(F.concat(texts, words, htr, cuttings, boxed)).alias("x")).select("annotation_id", "x.*")
 
 
 def status_bodies(records: DataFrame, vocabulary: DataFrame) -> DataFrame:
