@@ -198,6 +198,38 @@ def test_cosine_join_matches_brute_force(spark):
     assert want <= {(r.a, r.b) for r in names.cosine_pairs(df, 0.3).collect()}
 
 
+def test_likely_cores_share_a_key():
+    """Every pair alike to 0.8 shares a key, whatever its length; the number of a core's keys is bounded."""
+    rng, seen = random.Random(3), 0
+    for t in range(6000):
+        letters = "ab" if t % 3 == 0 else "abdeiklmno"
+        a = "".join(rng.choice(letters) for _ in range(rng.choice([1, 3, 4, 5, 6, 7, 9, 12, 23, 24, 25, 26, 27, 28, 29, 40])))
+        b = list(a)
+        for _ in range(rng.randrange(3)):
+            i = rng.randrange(len(b)) if b else 0
+            kind = rng.randrange(4)
+            b[i : i + 2] = {0: [rng.choice(letters), *b[i : i + 2]], 1: b[i + 1 : i + 2], 2: [rng.choice(letters), *b[i + 1 : i + 2]], 3: b[i : i + 2][::-1]}[kind]
+        b = "".join(b) + "".join(rng.choice(letters) for _ in range(rng.choice([0, 0, 1, 3, 8])))
+        if a != b and names.core_likeness(a, b) >= 0.8:
+            seen += 1
+            assert set(names.near_keys(a)) & set(names.near_keys(b)) or set(names.short_keys(a)) & set(names.long_keys(b)) or set(names.short_keys(b)) & set(names.long_keys(a)), (a, b)
+    assert seen > 2000
+    assert len(names.long_keys("x" * 5000)) + len(names.short_keys("x" * 5000)) < 600 and not names.near_keys("x" * 5000)
+
+
+def test_cores_that_share_grams_only_do_not_meet(spark):
+    """Of 3,000 surnames of the same syllables few pairs meet, though hundreds of thousands share a gram; none that is alike is missing."""
+    rng = random.Random(5)
+    parts = ["stra", "mel", "kod", "lin", "fur", "gos", "bien", "dol", "wik", "sarf", "hun", "tep", "oek", "rag", "pim"]
+    cores = sorted({"".join(rng.choice(parts) for _ in range(4)) for _ in range(3000)})
+    df = spark.createDataFrame(list(enumerate(cores)), "n bigint, core string")
+    got = {tuple(r) for r in names.met(df).collect()}
+    assert len(got) < 10 * len(cores)
+    some = range(0, len(cores), 10)
+    want = {(min(i, j), max(i, j)) for i in some for j in range(len(cores)) if i != j and names.core_likeness(cores[i], cores[j]) >= 0.8}
+    assert want and want <= got
+
+
 def test_components(spark):
     nodes = [(f"n{i:03d}",) for i in range(60)]
     edges = [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(40) if i != 20]
